@@ -24,7 +24,7 @@ def watch_url(video_id: str | Column = "video_id") -> Column:
 def publish_date_of(publish_time: str | Column = "publish_time") -> Column:
     """Date from the first ten characters (``yyyy-MM-dd``) of a timestamp
     text; null when they are not a date."""
-    return F.try_to_date(F.substring(_col(publish_time), 1, 10), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.substring(_col(publish_time), 1, 10), "yyyy-MM-dd")
 
 
 def nonnegative_bigint(text: str | Column) -> Column:

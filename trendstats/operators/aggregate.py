@@ -100,13 +100,18 @@ def sum_likes_dislikes_by_category(records: DataFrame, cats: DataFrame, ids: Seq
 
 
 def count_in_range(
-    records: DataFrame, ids: Sequence[int], range_name: str, as_of: str | dt.date | None = None
+    spark: SparkSession, records: DataFrame, ids: Sequence[int], range_name: str, as_of: str | dt.date | None = None
 ) -> DataFrame:
-    """Records per focus category published in the range, plus the total
-    (``is_total`` = 1 on the total row, whose ``category_id`` is null)."""
+    """Records per focus category published in the range (zero for a focus
+    id without any) plus the total row (``is_total`` = 1, ``category_id``
+    null). The rollup runs on the per-category counts, not on the records,
+    so the total row exists even for an empty range."""
     valid = published_since(in_categories(valid_records(records, need_date=True), ids), range_name, as_of)
-    return valid.rollup("category_id").agg(
-        F.count(F.lit(1)).alias("n_records"), F.grouping_id().cast("int").alias("is_total")
+    counts = valid.groupBy("category_id").agg(F.count(F.lit(1)).alias("n"))
+    per_id = selection(spark, ids).select("category_id").join(counts, "category_id", "left")
+    return per_id.rollup("category_id").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_records"),
+        F.grouping_id().cast("int").alias("is_total"),
     )
 
 

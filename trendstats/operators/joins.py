@@ -70,9 +70,15 @@ def unknown_categories(spark: SparkSession, ids: Sequence[int], cats: DataFrame)
     )
 
 
-def in_categories(df: DataFrame, ids: Sequence[int] | None) -> DataFrame:
-    """Rows whose category is one of ``ids`` (``None`` = no filter). One
-    ``IN`` predicate, pushed to the scan where the column is a scan column."""
+def in_categories(df: DataFrame, ids: Sequence[int] | None, cats: DataFrame | None = None) -> DataFrame:
+    """Rows whose category is one of ``ids``: one ``IN`` predicate, pushed to
+    the scan where the column is a scan column.
+
+    ``ids=None`` means every id of the dimension ``cats`` (a semi join with
+    the size-checked dimension), or no filter at all without ``cats``.
+    """
     if ids is None:
-        return df
+        if cats is None:
+            return df
+        return df.join(bounded_broadcast(cats.select("category_id")), "category_id", "left_semi")
     return df.where(F.col("category_id").isin(sorted({int(i) for i in ids})))

@@ -129,7 +129,7 @@ def _records_in_range(range_name):
 
 
 def count_in_range(spark, sf_dir):
-    return op.count_in_range(_records(spark, sf_dir), FOCUS, SUMMARY_RANGE, AS_OF)
+    return op.count_in_range(spark, _records(spark, sf_dir), FOCUS, SUMMARY_RANGE, AS_OF)
 
 
 def run_summary(spark, sf_dir):

@@ -199,10 +199,12 @@ WHERE t.category_id IN ({FOCUS}) AND t.views >= 0""",
     "topk_records_by_category_views": _topk_records("views"),
     "topk_records_by_category_likes": _topk_records("likes"),
     **{name: _records_in_range(r) for name, r in C.RANGE_QUERIES.items()},
-    "count_in_range": _with(TRENDING, VALID)
-    + f"""SELECT category_id, count(*) AS n_records, CAST(grouping(category_id) AS INTEGER) AS is_total
-FROM valid WHERE {_range_where(C.SUMMARY_RANGE)}
-GROUP BY ROLLUP (category_id)""",
+    "count_in_range": _with(TRENDING, VALID, _selection("sel", C.FOCUS))
+    + f"""SELECT s.category_id, CAST(coalesce(sum(n.n), 0) AS BIGINT) AS n_records,
+       CAST(grouping(s.category_id) AS INTEGER) AS is_total
+FROM sel s LEFT JOIN (SELECT category_id, count(*) AS n FROM valid WHERE {_range_where(C.SUMMARY_RANGE)}
+                      GROUP BY category_id) n ON s.category_id = n.category_id
+GROUP BY ROLLUP (s.category_id)""",
     "run_summary": _with(TRENDING)
     + f"""SELECT count(*) AS n_read,
        CAST(0 AS BIGINT) AS n_malformed,

@@ -11,7 +11,7 @@ Two reader modes:
   trailing empty tokens, delete every quote. A row is malformed unless it
   has exactly 16 tokens. Use it for row-for-row agreement with the original.
 
-Both keep *every* row and add ``_malformed``; ``valid_records`` and
+Both keep *every* row and add ``_malformed`` (wrong width or no video id); ``valid_records`` and
 ``rejected_records`` split them per query.
 """
 
@@ -49,9 +49,10 @@ def read_raw_csv(spark: SparkSession, path: str | list[str], multi_line: bool =
     )
     return raw.select(
         *[F.col(c) for c in RAW_COLUMNS],
-        # Note: the CSV reader refuses a plan that needs *only* the corrupt
-        # column; every operator here also reads a data column.
-        F.col(_CORRUPT).isNotNull().alias("_malformed"),
+        # Malformed = wrong width or no video id. Reading video_id here also
+        # keeps the reader from seeing a plan that needs only the corrupt
+        # column, which it refuses.
+        (F.col(_CORRUPT).isNotNull() | F.col("video_id").isNull()).alias("_malformed"),
     )
 
 
@@ -73,7 +74,8 @@ def read_raw_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
         F.nullif(F.replace(F.get(F.col("_t"), i), F.lit('"'), F.lit("")), F.lit("")).alias(name)
         for i, name in enumerate(RAW_COLUMNS)
     ]
-    return with_tokens.select(*fields, (java_token_count(F.col("_t")) != len(RAW_COLUMNS)).alias("_malformed"))
+    out = with_tokens.select(*fields, (java_token_count(F.col("_t")) != len(RAW_COLUMNS)).alias("_width_bad"))
+    return out.select(*RAW_COLUMNS, (F.col("_width_bad") | F.col("video_id").isNull()).alias("_malformed"))
 
 
 def typed_records(raw: DataFrame, trending_date_format: str = TRENDING_DATE_FORMAT) -> DataFrame:
@@ -84,7 +86,7 @@ def typed_records(raw: DataFrame, trending_date_format: str = TRENDING_DATE_FORM
     """
     return raw.select(
         F.col("video_id"),
-        F.try_to_date(F.col("trending_date"), F.lit(trending_date_format)).alias("trending_date"),
+        F.try_to_date(F.col("trending_date"), trending_date_format).alias("trending_date"),
         F.col("title"),
         F.col("channel_title"),
         F.col("category_id").try_cast("int").alias("category_id"),
@@ -155,7 +157,7 @@ def rejected_records(df: DataFrame, metrics=(), need_date: bool = False, display
     """Complement of ``valid_records`` with the first failing ``reason``."""
     reasons = []
     if "_malformed" in df.columns:
-        reasons.append((F.col("_malformed"), "width"))
+        reasons.append((F.col("_malformed"), "malformed"))
     reasons += [
         (F.col("video_id").isNull(), "video_id"),
         (F.col("category_id").isNull(), "category_id"),
