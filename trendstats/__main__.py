@@ -78,7 +78,7 @@ def build_parser() -> argparse.ArgumentParser:
     return p
 
 
-def main(argv: list[str] | None = None) -> int:
+def main(argv: list[str] | None = None, stop: bool = True) -> int:
     args = build_parser().parse_args(argv)
     spark = get_session(master=args.master)
     from trendstats import operators as op
@@ -115,7 +115,8 @@ def main(argv: list[str] | None = None) -> int:
         jobs.date_range(spark, args.range, args.input, args.out, args.as_of, mode=args.mode).show(truncate=False)
     elif args.cmd == "filter-by-category":
         jobs.filter_by_category(spark, args.category_id, args.input, args.out, mode=args.mode).show(truncate=False)
-    spark.stop()
+    if stop:
+        spark.stop()
     return 0
 
 

@@ -4,6 +4,7 @@ from trendstats.sinks.writers import (
     tuple_lines,
     video_csv_frame,
     write_by_category,
+    write_clean_table,
     write_ranked,
     write_table,
     write_text_by_category,
@@ -13,6 +14,7 @@ __all__ = [
     "tuple_lines",
     "video_csv_frame",
     "write_by_category",
+    "write_clean_table",
     "write_ranked",
     "write_table",
     "write_text_by_category",

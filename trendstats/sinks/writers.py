@@ -98,3 +98,15 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwri
         tuple_lines(df).write.mode(mode).text(path)
     else:
         raise ValueError(f"unknown format {fmt!r}")
+
+
+def write_clean_table(records: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Store validated, typed records as Parquet partitioned by category id.
+
+    Parse and validate the CSV once; later queries read the typed columns
+    they need (column pruning), push ``category_id IN (...)`` and date
+    predicates into the scan, and skip whole category directories
+    (partition pruning). Rows stay spread over the tasks that read them: no
+    shuffle here, so a hot category is written by many tasks in parallel.
+    """
+    records.write.partitionBy("category_id").mode(mode).parquet(path)

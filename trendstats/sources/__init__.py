@@ -4,6 +4,7 @@ from trendstats.sources.categories import categories_from_table, read_categories
 from trendstats.sources.tables import categories_from_tables, trending_from_tables
 from trendstats.sources.trending import (
     as_field_map,
+    read_clean_table,
     read_trending,
     rejected_records,
     valid_records,
@@ -15,6 +16,7 @@ __all__ = [
     "categories_from_table",
     "categories_from_tables",
     "read_categories",
+    "read_clean_table",
     "read_trending",
     "rejected_records",
     "trending_from_tables",

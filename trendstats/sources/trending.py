@@ -187,3 +187,8 @@ def as_field_map(df: DataFrame, columns: tuple[str, ...] | list[str] | None = No
             F.array(*[F.col(c).cast("string") for c in cols]),
         ).alias("fields")
     )
+
+
+def read_clean_table(spark: SparkSession, path: str) -> DataFrame:
+    """Read a table written by ``sinks.write_clean_table``."""
+    return spark.read.parquet(path)
