@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendstats.functions.columns import watch_url
-from trendstats.operators.joins import bounded_broadcast, in_categories, selection, with_category
+from trendstats.operators.joins import in_categories, selection, with_category
 from trendstats.operators.select import published_since
 from trendstats.schema import METRICS, VIDEO_COLUMNS
 from trendstats.sources.trending import valid_records, validity
@@ -66,9 +66,10 @@ def count_videos_by_category(
     if ids is not None:
         dim = dim.join(selection(spark, ids).select("category_id"), "category_id", "left_semi")
     counts = in_categories(videos, ids).groupBy("category_id").agg(F.count(F.lit(1)).alias("n_videos"))
+    # ``counts`` has one row per category; AQE broadcasts it at run time
+    # from its measured size (a left join can only broadcast its right side).
     return (
-        bounded_broadcast(dim)
-        .join(counts, "category_id", "left")
+        dim.join(counts, "category_id", "left")
         .select("category_id", "category", F.coalesce(F.col("n_videos"), F.lit(0)).cast("bigint").alias("n_videos"))
     )
 

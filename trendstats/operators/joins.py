@@ -16,13 +16,28 @@ from pyspark.sql import functions as F
 DIMENSION_BROADCAST_ROWS = 100_000
 
 
+_SIZE_CHECKS: dict[tuple, bool] = {}
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``
+    (the optimizer then picks the join, a shuffled one for a big side).
 
-    The check is one small job that stops after ``max_rows + 1`` rows.
+    The check is one small job that stops after ``max_rows + 1`` rows; its
+    answer is remembered for the same plan over the same input files.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    try:
+        files = tuple(sorted(df.inputFiles()))
+        # Only plans over files are remembered; others are checked each time.
+        key = (df.semanticHash(), files, max_rows) if files else None
+    except Exception:
+        key = None
+    fits = _SIZE_CHECKS.get(key) if key is not None else None
+    if fits is None:
+        fits = df.limit(max_rows + 1).count() <= max_rows
+        if key is not None:
+            _SIZE_CHECKS[key] = fits
+    return F.broadcast(df) if fits else df
 
 
 def with_category(df: DataFrame, cats: DataFrame, name: str = "category") -> DataFrame:

@@ -41,6 +41,12 @@ RECORD_TIEBREAK = (
 )
 
 
+def _video_columns(df: DataFrame) -> list[str]:
+    """Video output columns present in ``df`` (``category`` only when the
+    rollup was given a dimension)."""
+    return [c for c in VIDEO_COLUMNS if c in df.columns]
+
+
 def _check_k(k: int) -> int:
     if k < 0:
         raise ValueError(f"k must be >= 0, got {k}")
@@ -125,7 +131,7 @@ def topk_videos_by_category(
     m = check_metric(metric)
     v = in_categories(videos, ids)
     return topk_within(v, ["category_id"], [F.desc(m), F.asc("video_id")], k).select(
-        *VIDEO_COLUMNS, "rank"
+        *_video_columns(v), "rank"
     )
 
 
@@ -138,7 +144,7 @@ def topk_videos(
     v = in_categories(videos, ids)
     if year is not None:
         v = published_in(v, year)
-    return topk(v, [F.desc(m), F.asc("video_id")], k).select(*VIDEO_COLUMNS, "rank")
+    return topk(v, [F.desc(m), F.asc("video_id")], k).select(*_video_columns(v), "rank")
 
 
 # --- record grain (standalone jobs) -----------------------------------------
