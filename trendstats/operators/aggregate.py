@@ -65,12 +65,12 @@ def count_videos_by_category(
     dim = cats.select("category_id", F.col("title").alias("category"))
     if ids is not None:
         dim = dim.join(selection(spark, ids).select("category_id"), "category_id", "left_semi")
-    counts = in_categories(videos, ids).groupBy("category_id").agg(F.count(F.lit(1)).alias("n_videos"))
-    # ``counts`` has one row per category; AQE broadcasts it at run time
-    # from its measured size (a left join can only broadcast its right side).
-    return (
-        dim.join(counts, "category_id", "left")
-        .select("category_id", "category", F.coalesce(F.col("n_videos"), F.lit(0)).cast("bigint").alias("n_videos"))
+    chosen = in_categories(videos.select("category_id"), ids, cats)
+    # One row per allowed category: at most len(ids), or the size-checked
+    # dimension's row count, so the broadcast is bounded by construction.
+    counts = chosen.groupBy("category_id").agg(F.count(F.lit(1)).alias("n_videos"))
+    return dim.join(F.broadcast(counts), "category_id", "left").select(
+        "category_id", "category", F.coalesce(F.col("n_videos"), F.lit(0)).cast("bigint").alias("n_videos")
     )
 
 

@@ -53,12 +53,12 @@ def selection(spark: SparkSession, ids: Sequence[int]) -> DataFrame:
     Built from literals on the executors, no driver-side data. A repeated id
     keeps its first position only.
     """
-    if not ids:
+    unique = list(dict.fromkeys(int(i) for i in ids))
+    if not unique:
         raise ValueError("empty category selection")
-    arr = F.array(*[F.lit(int(i)) for i in ids])
+    arr = F.array(*[F.lit(i) for i in unique])
     rows = spark.range(1).select(F.posexplode(arr).alias("pos0", "category_id"))
-    first = rows.groupBy("category_id").agg(F.min("pos0").alias("pos0"))
-    return first.select((F.col("pos0") + 1).cast("bigint").alias("position"), F.col("category_id"))
+    return rows.select((F.col("pos0") + 1).cast("bigint").alias("position"), F.col("category_id"))
 
 
 def list_categories(cats: DataFrame) -> DataFrame:

@@ -73,7 +73,8 @@ def with_category(spark, sf_dir):
 
 
 def count_videos_by_category(spark, sf_dir):
-    return op.count_videos_by_category(spark, _videos(spark, sf_dir), _cats(spark, sf_dir), None)
+    videos = op.rollup_videos(_records(spark, sf_dir))  # counting needs no titles
+    return op.count_videos_by_category(spark, videos, _cats(spark, sf_dir), None)
 
 
 def filter_videos_by_category(spark, sf_dir):
