@@ -79,9 +79,10 @@ def count_records_by_category(
 ) -> DataFrame:
     """Valid records per focus category, zero for a focus id without any."""
     valid = in_categories(valid_records(records), ids)
+    # At most len(ids) rows: the broadcast is bounded by the parameter.
     counts = valid.groupBy("category_id").agg(F.count(F.lit(1)).alias("n_records"))
     sel = with_category(selection(spark, ids).select("category_id"), cats)
-    return sel.join(counts, "category_id", "left").select(
+    return sel.join(F.broadcast(counts), "category_id", "left").select(
         "category_id", "category", F.coalesce(F.col("n_records"), F.lit(0)).cast("bigint").alias("n_records")
     )
 
@@ -108,8 +109,8 @@ def count_in_range(
     null). The rollup runs on the per-category counts, not on the records,
     so the total row exists even for an empty range."""
     valid = published_since(in_categories(valid_records(records, need_date=True), ids), range_name, as_of)
-    counts = valid.groupBy("category_id").agg(F.count(F.lit(1)).alias("n"))
-    per_id = selection(spark, ids).select("category_id").join(counts, "category_id", "left")
+    counts = valid.groupBy("category_id").agg(F.count(F.lit(1)).alias("n"))  # <= len(ids) rows
+    per_id = selection(spark, ids).select("category_id").join(F.broadcast(counts), "category_id", "left")
     return per_id.rollup("category_id").agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_records"),
         F.grouping_id().cast("int").alias("is_total"),
