@@ -78,3 +78,24 @@ def dated_line() -> Column:
 def ranked_line(rank: str | Column = "rank", line: str | Column = "line") -> Column:
     """``<n>: <line>`` as written by the ranked text files."""
     return F.concat(_col(rank).cast("string"), F.lit(": "), _col(line))
+
+
+def category_id_of_label(label: str | Column) -> Column:
+    """Category id back from an ``<id>:<title>`` label (null if not a number)."""
+    return F.trim(F.split_part(_col(label), F.lit(":"), F.lit(1))).try_cast("int")
+
+
+def prefixed_line(prefix: str | Column, line: str | Column) -> Column:
+    """``<prefix>: <line>``, e.g. a category name before a record."""
+    return F.concat(_col(prefix), F.lit(": "), _col(line))
+
+
+def single_line(text: str | Column) -> Column:
+    """Every line break (``\\R``) replaced by a space, for one-record-per-line
+    text outputs of multi-line input."""
+    return F.regexp_replace(_col(text), r"\R", " ")
+
+
+def record_csv_line(*columns: str) -> Column:
+    """The named columns as one CSV-formatted text line."""
+    return F.to_csv(F.struct(*[F.col(c).cast("string").alias(c) for c in columns]))

@@ -4,6 +4,7 @@ from trendstats.operators.aggregate import (
     count_in_range,
     count_records_by_category,
     count_videos_by_category,
+    counts_with_total,
     rollup_videos,
     run_summary,
     sum_likes_dislikes_by_category,
@@ -30,13 +31,15 @@ from trendstats.operators.rank import (
     topk_videos_by_category,
     topk_within,
 )
-from trendstats.operators.select import published_in, published_since, valid_publish_date
+from trendstats.operators.select import display_ready, published_in, published_since, valid_publish_date
 
 __all__ = [
     "bounded_broadcast",
     "count_in_range",
     "count_records_by_category",
     "count_videos_by_category",
+    "counts_with_total",
+    "display_ready",
     "filter_records_by_category",
     "filter_videos_by_category",
     "in_categories",

@@ -101,15 +101,13 @@ def sum_likes_dislikes_by_category(records: DataFrame, cats: DataFrame, ids: Seq
     return with_category(sums, cats).select("category_id", "category", "likes", "dislikes")
 
 
-def count_in_range(
-    spark: SparkSession, records: DataFrame, ids: Sequence[int], range_name: str, as_of: str | dt.date | None = None
-) -> DataFrame:
-    """Records per focus category published in the range (zero for a focus
-    id without any) plus the total row (``is_total`` = 1, ``category_id``
-    null). The rollup runs on the per-category counts, not on the records,
-    so the total row exists even for an empty range."""
-    valid = published_since(in_categories(valid_records(records, need_date=True), ids), range_name, as_of)
-    counts = valid.groupBy("category_id").agg(F.count(F.lit(1)).alias("n"))  # <= len(ids) rows
+def counts_with_total(spark: SparkSession, records: DataFrame, ids: Sequence[int]) -> DataFrame:
+    """Rows per focus category (zero for a focus id without any) plus the
+    grand total (``is_total`` = 1, ``category_id`` null). ``records`` is
+    already filtered; the rollup runs on at most len(ids) counts, so the
+    total row exists even when nothing matched."""
+    counts = in_categories(records, ids).groupBy("category_id").agg(F.count(F.lit(1)).alias("n"))
+    # At most len(ids) rows: the broadcast is bounded by the parameter.
     per_id = selection(spark, ids).select("category_id").join(F.broadcast(counts), "category_id", "left")
     return per_id.rollup("category_id").agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_records"),
@@ -117,6 +115,14 @@ def count_in_range(
     )
 
 
+def count_in_range(
+    spark: SparkSession, records: DataFrame, ids: Sequence[int], range_name: str, as_of: str | dt.date | None = None
+) -> DataFrame:
+    """Records per focus category published in the range, with the total."""
+    valid = published_since(valid_records(records, need_date=True), range_name, as_of)
+    return counts_with_total(spark, valid, ids)
+
+
 def run_summary(records: DataFrame, ids: Sequence[int], metrics: Sequence[str] = ()) -> DataFrame:
     """One row of run counts: records read, malformed (wrong width), usable
     for a job needing ``metrics``, and of those in the focus categories;

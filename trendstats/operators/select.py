@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendstats.functions.dates import range_cutoff
+from trendstats.sources.trending import valid_records
 
 
 def valid_publish_date(df: DataFrame, min_year: int | None = None) -> DataFrame:
@@ -33,3 +34,9 @@ def published_since(df: DataFrame, range_name: str, as_of: str | dt.date | None
     if cutoff is None:
         return df.where(F.col("publish_date").isNotNull())
     return df.where(F.col("publish_date") >= cutoff)
+
+
+def display_ready(df: DataFrame) -> DataFrame:
+    """Rows that can be shown as a display line: category, video id, title,
+    a parseable publish date, and usable views and likes."""
+    return valid_records(df, display=True)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendstats import operators as op
-from trendstats.functions.columns import ranked_line
+from trendstats.functions.columns import prefixed_line, ranked_line, record_csv_line
 from trendstats.schema import FOCUS_IDS
 from trendstats.sinks import write_table, write_text_by_category
 from trendstats.sources import read_categories, read_trending
@@ -54,10 +54,13 @@ def likes_count(spark, trending_path, out_dir, categories_path=None, ids: Sequen
 
 
 def views_sort(spark, trending_path, out_dir, categories_path=None, ids: Sequence[int] = FOCUS_IDS, mode="csv"):
-    """Focus records by views ascending → CSV directory (range-partitioned,
-    part files in order)."""
+    """Focus records by views ascending → ``<category>: <record as CSV>``
+    text lines (range-partitioned, part files in order)."""
     records, cats = _inputs(spark, trending_path, categories_path, mode)
-    write_table(op.sort_records_by_views(records, _cats_or_empty(spark, cats), ids), out_dir, "csv")
+    ordered = op.sort_records_by_views(records, _cats_or_empty(spark, cats), ids)
+    label = F.coalesce(F.col("category"), F.col("category_id").cast("string"))
+    fields = [c for c in ordered.columns if c != "category"]
+    write_table(ordered.select(prefixed_line(label, record_csv_line(*fields)).alias("value")), out_dir, "text")
     return op.run_summary(records, ids, metrics=("views",))
 
 
@@ -70,11 +73,12 @@ def category_count(spark, trending_path, categories_path=None, ids: Sequence[int
 
 def topk_records(spark, metric, k, trending_path, out_dir, ids: Sequence[int] = FOCUS_IDS, mode="csv"):
     """Top k records by ``metric`` per focus category → ``<n>: <line>`` text
-    files per category."""
+    files per category; returns the display-ready record count per focus
+    category with the total."""
     records, _ = _inputs(spark, trending_path, None, mode)
     top = op.topk_records_by_category(records, metric, k, ids)
     write_text_by_category(top, out_dir)
-    return op.run_summary(records, ids, metrics=("views", "likes"))
+    return op.counts_with_total(spark, op.display_ready(records), ids)
 
 
 def date_range(

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendstats.functions.columns import category_label, ranked_line
+from trendstats.functions.columns import category_label, ranked_line, single_line
 
 
 def video_csv_frame(videos: DataFrame) -> DataFrame:
@@ -69,7 +69,7 @@ def write_text_by_category(
     (
         df.repartitionByRange(n, "category_id", rank_col)
         .sortWithinPartitions("category_id", rank_col)
-        .select("category_id", ranked_line(rank_col, line_col).alias("value"))
+        .select("category_id", single_line(ranked_line(rank_col, line_col)).alias("value"))
         .write.partitionBy("category_id")
         .mode(mode)
         .text(path)
@@ -93,7 +93,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwri
     elif fmt == "parquet":
         df.write.mode(mode).parquet(path)
     elif fmt == "text":
-        df.write.mode(mode).text(path)
+        df.select(single_line(F.col(df.columns[0]))).write.mode(mode).text(path)
     elif fmt == "tuple":
         tuple_lines(df).write.mode(mode).text(path)
     else:
