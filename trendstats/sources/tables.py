@@ -16,8 +16,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trendstats.sources.categories import categories_from_table
 
@@ -28,6 +29,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def calendar_date(df: DataFrame, name: str) -> Column:
+    """Calendar date of a timestamp column stored without a time zone,
+    whatever the session time zone: a ``timestamp_ntz`` casts directly; a
+    column read as an instant is taken as UTC wall-clock time."""
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, T.TimestampType):
+        micros_per_day = 86_400_000_000
+        return F.date_from_unix_date(F.floor(F.unix_micros(F.col(name)) / micros_per_day).cast("int"))
+    return F.col(name).cast("date")
+
+
 def trending_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = _table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_linenumber"
@@ -39,7 +51,7 @@ def trending_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return joined.select(
         F.concat(F.lit("v"), F.lpad(F.col("l_partkey").cast("string"), 8, "0")).alias("video_id"),
-        F.col("l_shipdate").cast("date").alias("trending_date"),
+        calendar_date(lineitem, "l_shipdate").alias("trending_date"),
         F.col("p_name").alias("title"),
         F.col("s_name").alias("channel_title"),
         F.substring(F.col("p_brand"), 7, 1 << 20).cast("int").alias("category_id"),
