@@ -8,6 +8,7 @@ fixed test parameters below. ``plans.oracle`` holds the equivalent SQL.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,10 @@ from pyspark.sql import functions as F
 
 from trendstats import operators as op
 from trendstats.schema import RECORD_COLUMNS
+from trendstats.session import ensure_checkpoint_dir
+from trendstats.sinks import write_snapshot_csv
 from trendstats.sources.tables import categories_from_tables, trending_from_tables
-from trendstats.sources.trending import as_field_map, valid_records
+from trendstats.sources.trending import as_field_map, read_trending, valid_records
 
 # Test parameters (the adapter's categories are brand numbers 1-25 and the
 # dimension is the nation table, ids 0-24).
@@ -142,6 +145,24 @@ def field_map(spark, sf_dir):
     return as_field_map(recs.select(*RECORD_COLUMNS)).select(F.explode("fields").alias("key", "value"))
 
 
+def _records_via_csv(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    """The adapter rows written by Spark as trending CSV files into a fresh
+    folder under the shared checkpoint folder, then read back with the CSV
+    source: the query then runs the original input path end to end."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/trending-csv-{uuid.uuid4().hex}"
+    write_snapshot_csv(_records(spark, sf_dir), folder)
+    return read_trending(spark, folder, mode=mode, trending_date_format="yyyy-MM-dd")
+
+
+def rollup_videos_from_csv(spark, sf_dir):
+    return op.rollup_videos(_records_via_csv(spark, sf_dir, "csv"), _cats(spark, sf_dir))
+
+
+def sum_likes_dislikes_from_csv_lines(spark, sf_dir):
+    records = _records_via_csv(spark, sf_dir, "line")
+    return op.sum_likes_dislikes_by_category(records, _cats(spark, sf_dir), FOCUS)
+
+
 QUERIES: dict[str, Query] = {
     "rollup_videos": rollup_videos,
     "list_categories": list_categories,
@@ -170,4 +191,6 @@ QUERIES: dict[str, Query] = {
     "count_in_range": count_in_range,
     "run_summary": run_summary,
     "as_field_map": field_map,
+    "rollup_videos_from_csv": rollup_videos_from_csv,
+    "sum_likes_dislikes_from_csv_lines": sum_likes_dislikes_from_csv_lines,
 }

@@ -214,3 +214,6 @@ GROUP BY ROLLUP (s.category_id)""",
 FROM trending""",
     "as_field_map": _with(TRENDING) + _FIELD_MAP,
 }
+# The CSV round trips must give exactly the results of the direct queries.
+ORACLE["rollup_videos_from_csv"] = ORACLE["rollup_videos"]
+ORACLE["sum_likes_dislikes_from_csv_lines"] = ORACLE["sum_likes_dislikes_by_category"]

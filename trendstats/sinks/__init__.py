@@ -1,21 +1,25 @@
 """Sinks: partitioned CSV / text writers."""
 
 from trendstats.sinks.writers import (
+    snapshot_csv_frame,
     tuple_lines,
     video_csv_frame,
     write_by_category,
     write_clean_table,
     write_ranked,
+    write_snapshot_csv,
     write_table,
     write_text_by_category,
 )
 
 __all__ = [
+    "snapshot_csv_frame",
     "tuple_lines",
     "video_csv_frame",
     "write_by_category",
     "write_clean_table",
     "write_ranked",
+    "write_snapshot_csv",
     "write_table",
     "write_text_by_category",
 ]

@@ -110,3 +110,33 @@ def write_clean_table(records: DataFrame, path: str, mode: str = "overwrite") ->
     shuffle here, so a hot category is written by many tasks in parallel.
     """
     records.write.partitionBy("category_id").mode(mode).parquet(path)
+
+
+def snapshot_csv_frame(records: DataFrame, trending_date_format: str = "yyyy-MM-dd") -> DataFrame:
+    """Typed records back in the 16-column CSV layout (columns that the
+    record schema does not carry get neutral values)."""
+    return records.select(
+        F.col("video_id"),
+        F.date_format("trending_date", trending_date_format).alias("trending_date"),
+        F.col("title"),
+        F.col("channel_title"),
+        F.col("category_id").cast("string").alias("category_id"),
+        F.date_format("publish_date", "yyyy-MM-dd'T'00:00:00.000'Z'").alias("publish_time"),
+        F.lit("none").alias("tags"),
+        F.col("views").cast("string").alias("views"),
+        F.col("likes").cast("string").alias("likes"),
+        F.col("dislikes").cast("string").alias("dislikes"),
+        F.lit("0").alias("comment_count"),
+        F.concat(F.lit("thumb/"), F.col("video_id")).alias("thumbnail_link"),
+        F.lit("False").alias("comments_disabled"),
+        F.lit("False").alias("ratings_disabled"),
+        F.lit("False").alias("video_error_or_removed"),
+        F.concat(F.lit("snapshot of "), F.col("video_id")).alias("description"),
+    )
+
+
+def write_snapshot_csv(
+    records: DataFrame, path: str, trending_date_format: str = "yyyy-MM-dd", mode: str = "overwrite"
+) -> None:
+    """Write records as trending CSV files (header, quoted where needed)."""
+    snapshot_csv_frame(records, trending_date_format).write.option("header", True).mode(mode).csv(path)
