@@ -87,7 +87,8 @@ def number_within(
        sample) and cuts the lineage.
     3. Per (partition, group): row count and first position; a running sum
        over partitions gives the rows of the group in earlier partitions.
-       This table has at most partitions + groups rows.
+       This table has at most partitions + groups rows; it is checkpointed
+       too and broadcast when its size check passes.
     4. rank = rows before + (position − first position) + 1.
     """
     spark = df.sparkSession
@@ -107,8 +108,10 @@ def number_within(
         "_part", *[F.col(c).alias(f"_s_{c}") for c in by], "_first",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
     )
+    # Small (partitions + groups rows); checkpointed so that the size check
+    # and the join below read it instead of recomputing it.
+    stats = stats.withColumnRenamed("_part", "_s_part").checkpoint(eager=True)
     cond = F.col("_part") == F.col("_s_part")
-    stats = stats.withColumnRenamed("_part", "_s_part")
     for c in by:
         cond = cond & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
     joined = tagged.join(bounded_broadcast(stats), cond, "inner")
