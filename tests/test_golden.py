@@ -109,6 +109,7 @@ def test_run_summary(records):
     assert s.n_valid == 14  # minus width x2, bad category, bad views
     assert s.n_output == 11  # v01 x2, v02 x2, v03, v04, v05, v06 x2, v07 (good), v08
     assert s.n_read == s.n_output + s.n_skipped
+    assert s.n_groups == 5
 
 
 def test_selection_views(spark, cats):

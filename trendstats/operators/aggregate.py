@@ -126,7 +126,9 @@ def count_in_range(
 def run_summary(records: DataFrame, ids: Sequence[int], metrics: Sequence[str] = ()) -> DataFrame:
     """One row of run counts: records read, malformed (wrong width), usable
     for a job needing ``metrics``, and of those in the focus categories;
-    ``n_skipped`` = read − (usable and in focus)."""
+    ``n_skipped`` = read − (usable and in focus); ``n_groups`` = focus
+    categories with at least one usable record (the output groups of the
+    per-category sums)."""
     ok = validity(records, metrics)
     malformed = F.col("_malformed") if "_malformed" in records.columns else F.lit(False)
     focus = F.col("category_id").isin(sorted({int(i) for i in ids}))
@@ -137,4 +139,5 @@ def run_summary(records: DataFrame, ids: Sequence[int], metrics: Sequence[str] =
         F.count_if(ok).alias("n_valid"),
         F.count_if(in_focus).alias("n_output"),
         F.count_if(~in_focus).alias("n_skipped"),
+        F.count_distinct(F.when(in_focus, F.col("category_id"))).alias("n_groups"),
     )

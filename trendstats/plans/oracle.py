@@ -210,7 +210,8 @@ GROUP BY ROLLUP (s.category_id)""",
        CAST(0 AS BIGINT) AS n_malformed,
        count(*) FILTER (WHERE video_id IS NOT NULL AND category_id IS NOT NULL) AS n_valid,
        count(*) FILTER (WHERE video_id IS NOT NULL AND category_id IN ({FOCUS})) AS n_output,
-       count(*) FILTER (WHERE NOT coalesce(video_id IS NOT NULL AND category_id IN ({FOCUS}), false)) AS n_skipped
+       count(*) FILTER (WHERE NOT coalesce(video_id IS NOT NULL AND category_id IN ({FOCUS}), false)) AS n_skipped,
+       count(DISTINCT CASE WHEN video_id IS NOT NULL AND category_id IN ({FOCUS}) THEN category_id END) AS n_groups
 FROM trending""",
     "as_field_map": _with(TRENDING) + _FIELD_MAP,
 }
