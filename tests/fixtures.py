@@ -45,11 +45,11 @@ CATEGORY_ROWS = [
 def category_json() -> str:
     """The list as a multi-line JSON document with CRLF line ends."""
     doc = {
-        "kind": "youtube#videoCategoryListResponse",
+        "kind": "categoryList",
         "etag": "test-etag",
         "items": [
             {
-                "kind": "youtube#videoCategory",
+                "kind": "category",
                 "etag": f"etag-{cid}",
                 "id": str(cid),
                 "snippet": {"channelId": "test-channel", "title": title, "assignable": assignable},
