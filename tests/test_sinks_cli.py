@@ -75,3 +75,24 @@ def test_cli_menu_and_jobs(golden_csv, categories_json, workdir, capsys):
         "1: 2018-03-01 - https://www.youtube.com/watch?v=v05 - title:No description"]
     assert main(["filter-by-category", "24", golden_csv, os.path.join(workdir, "fc")], stop=False) == 0
     assert len(read_lines(os.path.join(workdir, "fc"))) == 2
+
+
+def test_cli_menu_entries(golden_csv, categories_json, workdir, capsys):
+    from trendstats.__main__ import main
+
+    out = os.path.join(workdir, "cli_menu")
+    assert main(["menu", "2", golden_csv, categories_json, "--ids", "23,34"], stop=False) == 0
+    shown = capsys.readouterr().out
+    assert "|23         |Comedy  |1       |" in shown and "|34         |Comedy  |0       |" in shown
+    assert main(["menu", "3", golden_csv, categories_json, "--ids", "10", "--out", out], stop=False) == 0
+    rows = list(csv.reader(read_lines(os.path.join(out, "filter_videos", "category_id=10"))))
+    assert [r[0] for r in rows if r[0] != "title"] == ["Big", "Comma, twice", "Plain"]
+    assert main(["menu", "4", golden_csv, categories_json, "--ids", "24", "--k", "1", "--out", out], stop=False) == 0
+    rows = list(csv.reader(read_lines(os.path.join(out, "topk_likes_per_category", "category_id=24"))))
+    assert [r[0] for r in rows if r[0] != "title"] == ["Comma, once"]
+    assert main(["menu", "10", golden_csv, categories_json, "--k", "2", "--year", "2018", "--out", out], stop=False) == 0
+    rows = list(csv.reader(read_lines(os.path.join(out, "top2viewsOf2018"))))
+    assert [r[0] for r in rows[1:]] == ["Big", "Comma, twice"]
+    assert main(["categories", categories_json, "--ids", "24,99"], stop=False) == 0
+    shown = capsys.readouterr().out
+    assert "Entertainment" in shown and "|99         |" in shown

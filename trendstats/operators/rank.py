@@ -92,10 +92,11 @@ def number_within(
     4. rank = rows before + (position − first position) + 1.
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) for c in by] + list(order)
+    # Without an explicit count AQE sizes the range partitions.
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     tagged = (
-        df.repartitionByRange(n, *keys)
+        ranged
         .sortWithinPartitions(*keys)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id())
