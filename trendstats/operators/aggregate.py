@@ -66,10 +66,12 @@ def count_videos_by_category(
     if ids is not None:
         dim = dim.join(selection(spark, ids).select("category_id"), "category_id", "left_semi")
     chosen = in_categories(videos.select("category_id"), ids, cats)
-    # One row per allowed category: at most len(ids), or the size-checked
-    # dimension's row count, so the broadcast is bounded by construction.
     counts = chosen.groupBy("category_id").agg(F.count(F.lit(1)).alias("n_videos"))
-    return dim.join(F.broadcast(counts), "category_id", "left").select(
+    # With an id list the counts have at most len(ids) rows: broadcast them.
+    # For "all categories" AQE decides from their measured size.
+    if ids is not None:
+        counts = F.broadcast(counts)
+    return dim.join(counts, "category_id", "left").select(
         "category_id", "category", F.coalesce(F.col("n_videos"), F.lit(0)).cast("bigint").alias("n_videos")
     )
 

@@ -14,8 +14,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
-    # A malformed CSV row must stay malformed when a query reads few columns.
-    "spark.sql.csv.parser.columnPruning.enabled": "false",
 }
 
 
