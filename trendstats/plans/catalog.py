@@ -42,12 +42,25 @@ RANGE_QUERIES = {
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Input plans built once per session and folder. A DataFrame is an
+# immutable plan, so sharing it between queries only saves the repeated
+# analysis of the same adapter; every execution still scans the files.
+_INPUTS: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+
+
+def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INPUTS:
+        _INPUTS[key] = (trending_from_tables(spark, sf_dir), categories_from_tables(spark, sf_dir))
+    return _INPUTS[key]
+
+
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trending_from_tables(spark, sf_dir)
+    return _inputs(spark, sf_dir)[0]
 
 
 def _cats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return categories_from_tables(spark, sf_dir)
+    return _inputs(spark, sf_dir)[1]
 
 
 def _videos(spark: SparkSession, sf_dir: str) -> DataFrame:

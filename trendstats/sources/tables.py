@@ -25,8 +25,23 @@ from trendstats.sources.categories import categories_from_table
 PUBLISH_EPOCH = dt.date(1995, 1, 1)
 
 
+# path -> (files, schema) of tables already read in this process
+_SCHEMAS: dict[str, tuple[tuple[str, ...], T.StructType]] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one input table. Its schema is inferred (a footer read) the
+    first time only; later reads pass it to the reader as long as the
+    folder lists the same files, and infer it again otherwise."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    known = _SCHEMAS.get(path)
+    if known is not None:
+        df = spark.read.schema(known[1]).parquet(path)
+        if tuple(sorted(df.inputFiles())) == known[0]:
+            return df
+    df = spark.read.parquet(path)
+    _SCHEMAS[path] = (tuple(sorted(df.inputFiles())), df.schema)
+    return df
 
 
 def calendar_date(df: DataFrame, name: str) -> Column:
