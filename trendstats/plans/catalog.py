@@ -158,13 +158,20 @@ def field_map(spark, sf_dir):
     return as_field_map(recs.select(*RECORD_COLUMNS)).select(F.explode("fields").alias("key", "value"))
 
 
+_CSV_FOLDERS: dict[tuple[str, str], str] = {}
+
+
 def _records_via_csv(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
-    """The adapter rows written by Spark as trending CSV files into a fresh
-    folder under the shared checkpoint folder, then read back with the CSV
-    source: the query then runs the original input path end to end."""
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/trending-csv-{uuid.uuid4().hex}"
-    write_snapshot_csv(_records(spark, sf_dir), folder)
-    return read_trending(spark, folder, mode=mode, trending_date_format="yyyy-MM-dd")
+    """The adapter rows as trending CSV files, read back with the CSV
+    source, so the query runs the original input path end to end. Spark
+    writes the files once per session and folder, into a fresh folder under
+    the shared checkpoint folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CSV_FOLDERS:
+        folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/trending-csv-{uuid.uuid4().hex}"
+        write_snapshot_csv(_records(spark, sf_dir), folder)
+        _CSV_FOLDERS[key] = folder
+    return read_trending(spark, _CSV_FOLDERS[key], mode=mode, trending_date_format="yyyy-MM-dd")
 
 
 def rollup_videos_from_csv(spark, sf_dir):
