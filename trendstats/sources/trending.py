@@ -211,12 +211,8 @@ def as_field_map(df: DataFrame, columns: tuple[str, ...] | list[str] | None = No
     """One ``map<string,string>`` column ``fields`` of the named columns (all
     but ``_malformed`` by default), each value cast to text."""
     cols = [c for c in (columns or df.columns) if c != "_malformed"]
-    return df.select(
-        F.map_from_arrays(
-            F.array(*[F.lit(c) for c in cols]),
-            F.array(*[F.col(c).cast("string") for c in cols]),
-        ).alias("fields")
-    )
+    pairs = [e for c in cols for e in (F.lit(c), F.col(c).cast("string"))]
+    return df.select(F.create_map(*pairs).alias("fields"))
 
 
 def read_clean_table(spark: SparkSession, path: str) -> DataFrame:
