@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendstats.functions.columns import watch_url
-from trendstats.operators.joins import in_categories, selection, with_category
+from trendstats.operators.joins import fits_bound, in_categories, selection, with_category
 from trendstats.operators.select import published_since
 from trendstats.schema import METRICS, VIDEO_COLUMNS
 from trendstats.sources.trending import valid_records, validity
@@ -67,9 +67,10 @@ def count_videos_by_category(
         dim = dim.join(selection(spark, ids).select("category_id"), "category_id", "left_semi")
     chosen = in_categories(videos.select("category_id"), ids, cats)
     counts = chosen.groupBy("category_id").agg(F.count(F.lit(1)).alias("n_videos"))
-    # With an id list the counts have at most len(ids) rows: broadcast them.
-    # For "all categories" AQE decides from their measured size.
-    if ids is not None:
+    # One row per allowed category: at most len(ids), or at most the
+    # dimension's rows once it passed its size check. Otherwise AQE decides
+    # from the measured size.
+    if ids is not None or fits_bound(cats.select("category_id")):
         counts = F.broadcast(counts)
     return dim.join(counts, "category_id", "left").select(
         "category_id", "category", F.coalesce(F.col("n_videos"), F.lit(0)).cast("bigint").alias("n_videos")

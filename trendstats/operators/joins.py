@@ -19,12 +19,11 @@ DIMENSION_BROADCAST_ROWS = 100_000
 _SIZE_CHECKS: dict[tuple, bool] = {}
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``
-    (the optimizer then picks the join, a shuffled one for a big side).
+def fits_bound(df: DataFrame, max_rows: int = DIMENSION_BROADCAST_ROWS) -> bool:
+    """Does ``df`` have at most ``max_rows`` rows?
 
-    The check is one small job that stops after ``max_rows + 1`` rows; its
-    answer is remembered for the same plan over the same input files.
+    One small job that stops after ``max_rows + 1`` rows; the answer is
+    remembered for the same plan over the same input files.
     """
     try:
         files = tuple(sorted(df.inputFiles()))
@@ -37,7 +36,13 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_BROADCAST_ROWS) -
         fits = df.limit(max_rows + 1).count() <= max_rows
         if key is not None:
             _SIZE_CHECKS[key] = fits
-    return F.broadcast(df) if fits else df
+    return fits
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``
+    (the optimizer then picks the join, a shuffled one for a big side)."""
+    return F.broadcast(df) if fits_bound(df, max_rows) else df
 
 
 def with_category(df: DataFrame, cats: DataFrame, name: str = "category") -> DataFrame:
