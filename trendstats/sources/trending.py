@@ -11,8 +11,8 @@ Two reader modes:
   trailing empty tokens, delete every quote. A row is malformed unless it
   has exactly 16 tokens. Use it for row-for-row agreement with the original.
 
-Both keep *every* row and add ``_malformed`` (wrong width or no video id); ``valid_records`` and
-``rejected_records`` split them per query.
+Both keep *every* row and add ``_malformed`` (wrong width or no video id);
+``valid_records`` and ``rejected_records`` split them per query.
 """
 
 from __future__ import annotations
