@@ -100,5 +100,5 @@ def run_menu(
         elif per_category is False:
             write_ranked(result, target)
         else:
-            result.write.option("header", True).mode("overwrite").csv(target)
+            result.write.option("header", True).option("escape", '"').mode("overwrite").csv(target)
     return result

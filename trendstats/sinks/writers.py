@@ -47,6 +47,7 @@ def write_by_category(videos: DataFrame, path: str, mode: str = "overwrite") ->
         .drop("rank")
         .write.partitionBy("category_id")
         .option("header", True)
+        .option("escape", '"')
         .mode(mode)
         .csv(path)
     )
@@ -57,7 +58,8 @@ def write_ranked(df: DataFrame, path: str, mode: str = "overwrite", rank_col: st
     a header, in rank order."""
     frame = video_csv_frame(df) if "url" in df.columns else df
     frame = frame.drop("category_id") if "category_id:category" in frame.columns else frame
-    frame.orderBy(rank_col).coalesce(1).drop(rank_col).write.option("header", True).mode(mode).csv(path)
+    out = frame.orderBy(rank_col).coalesce(1).drop(rank_col)
+    out.write.option("header", True).option("escape", '"').mode(mode).csv(path)
 
 
 def write_text_by_category(
@@ -89,7 +91,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwri
     """Plain directory output: ``csv`` (with header), ``parquet``, ``text``
     (one string column) or ``tuple`` (``(k,v)`` lines)."""
     if fmt == "csv":
-        df.write.option("header", True).mode(mode).csv(path)
+        df.write.option("header", True).option("escape", '"').mode(mode).csv(path)
     elif fmt == "parquet":
         df.write.mode(mode).parquet(path)
     elif fmt == "text":
@@ -139,4 +141,5 @@ def write_snapshot_csv(
     records: DataFrame, path: str, trending_date_format: str = "yyyy-MM-dd", mode: str = "overwrite"
 ) -> None:
     """Write records as trending CSV files (header, quoted where needed)."""
-    snapshot_csv_frame(records, trending_date_format).write.option("header", True).mode(mode).csv(path)
+    frame = snapshot_csv_frame(records, trending_date_format)
+    frame.write.option("header", True).option("escape", '"').mode(mode).csv(path)
