@@ -178,6 +178,10 @@ def rollup_videos_from_csv(spark, sf_dir):
     return op.rollup_videos(_records_via_csv(spark, sf_dir, "csv"), _cats(spark, sf_dir))
 
 
+def rollup_videos_from_csv_lines(spark, sf_dir):
+    return op.rollup_videos(_records_via_csv(spark, sf_dir, "line"), _cats(spark, sf_dir))
+
+
 def sum_likes_dislikes_from_csv_lines(spark, sf_dir):
     records = _records_via_csv(spark, sf_dir, "line")
     return op.sum_likes_dislikes_by_category(records, _cats(spark, sf_dir), FOCUS)
@@ -212,5 +216,6 @@ QUERIES: dict[str, Query] = {
     "run_summary": run_summary,
     "as_field_map": field_map,
     "rollup_videos_from_csv": rollup_videos_from_csv,
+    "rollup_videos_from_csv_lines": rollup_videos_from_csv_lines,
     "sum_likes_dislikes_from_csv_lines": sum_likes_dislikes_from_csv_lines,
 }

@@ -217,4 +217,5 @@ FROM trending""",
 }
 # The CSV round trips must give exactly the results of the direct queries.
 ORACLE["rollup_videos_from_csv"] = ORACLE["rollup_videos"]
+ORACLE["rollup_videos_from_csv_lines"] = ORACLE["rollup_videos"]
 ORACLE["sum_likes_dislikes_from_csv_lines"] = ORACLE["sum_likes_dislikes_by_category"]
