@@ -16,6 +16,7 @@ from trendstats.operators.joins import (
     list_categories,
     selected_categories,
     selection,
+    titled,
     unknown_categories,
     with_category,
 )
@@ -59,6 +60,7 @@ __all__ = [
     "topk_records_by_category",
     "topk_videos",
     "topk_videos_by_category",
+    "titled",
     "topk_within",
     "unknown_categories",
     "valid_publish_date",

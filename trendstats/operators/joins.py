@@ -52,6 +52,15 @@ def with_category(df: DataFrame, cats: DataFrame, name: str = "category") -> Dat
     return df.join(dim, "category_id", "left")
 
 
+def titled(df: DataFrame, cats: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add the category title as the last step of a query (after filters
+    and top-k, so the lookup touches only the rows that are output) and
+    put the columns in the given order."""
+    if "category" not in df.columns:
+        df = with_category(df, cats)
+    return df.select(*columns)
+
+
 def selection(spark: SparkSession, ids: Sequence[int]) -> DataFrame:
     """``(position, category_id)`` for a chosen id list, positions from 1.
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendstats import operators as op
-from trendstats.schema import RECORD_COLUMNS
+from trendstats.schema import RECORD_COLUMNS, VIDEO_COLUMNS
 from trendstats.session import ensure_checkpoint_dir
 from trendstats.sinks import write_snapshot_csv
 from trendstats.sources.tables import categories_from_tables, trending_from_tables
@@ -67,6 +67,12 @@ def _videos(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.rollup_videos(_records(spark, sf_dir), _cats(spark, sf_dir))
 
 
+def _untitled_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollup without the category title; queries that keep few videos
+    add the title after filtering / top-k (``op.titled``)."""
+    return op.rollup_videos(_records(spark, sf_dir))
+
+
 def rollup_videos(spark, sf_dir):
     return _videos(spark, sf_dir)
 
@@ -94,19 +100,22 @@ def count_videos_by_category(spark, sf_dir):
 
 
 def filter_videos_by_category(spark, sf_dir):
-    return op.filter_videos_by_category(_videos(spark, sf_dir), FOCUS)
+    chosen = op.in_categories(_untitled_videos(spark, sf_dir), FOCUS)
+    return op.filter_videos_by_category(op.titled(chosen, _cats(spark, sf_dir), VIDEO_COLUMNS), None)
 
 
 def _topk_by_category(metric):
     def q(spark, sf_dir):
-        return op.topk_videos_by_category(_videos(spark, sf_dir), metric, K_PER_CATEGORY, FOCUS)
+        top = op.topk_videos_by_category(_untitled_videos(spark, sf_dir), metric, K_PER_CATEGORY, FOCUS)
+        return op.titled(top, _cats(spark, sf_dir), [*VIDEO_COLUMNS, "rank"])
 
     return q
 
 
 def _topk(metric, year=None):
     def q(spark, sf_dir):
-        return op.topk_videos(_videos(spark, sf_dir), metric, K_OVERALL, FOCUS, year)
+        top = op.topk_videos(_untitled_videos(spark, sf_dir), metric, K_OVERALL, FOCUS, year)
+        return op.titled(top, _cats(spark, sf_dir), [*VIDEO_COLUMNS, "rank"])
 
     return q
 

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from trendstats import operators as op
+from trendstats.schema import VIDEO_COLUMNS
 from trendstats.sinks import write_by_category, write_ranked
 from trendstats.sources import read_categories, read_trending
 
@@ -55,15 +56,19 @@ def menu_query(
     name, metric, per_category, by_year = MENU[choice]
     sel = normalise_selection(ids)
     chosen = op.in_categories(videos, sel, cats)
+    columns = [c for c in VIDEO_COLUMNS if c in videos.columns or c == "category"]
     if name == "count_videos":
         return op.count_videos_by_category(spark, videos, cats, sel)
     if name == "filter_videos":
-        return op.filter_videos_by_category(chosen, None)
+        return op.filter_videos_by_category(op.titled(chosen, cats, columns), None)
     if k is None:
         raise ValueError("this menu entry needs k")
     if per_category:
-        return op.topk_videos_by_category(chosen, metric, k)
-    return op.topk_videos(chosen, metric, k, year=year if by_year else None)
+        top = op.topk_videos_by_category(chosen, metric, k)
+    else:
+        top = op.topk_videos(chosen, metric, k, year=year if by_year else None)
+    # the category title is looked up for the output rows only
+    return op.titled(top, cats, [*columns, "rank"])
 
 
 def output_name(choice: int, k: int | None, year: int = 2018) -> str:
@@ -90,7 +95,7 @@ def run_menu(
     per-category entries as ``<out>/<entry>/category_id=<id>/``, overall
     top-k lists as one CSV in ``<out>/top<k><metric>[Of<year>]``."""
     cats = read_categories(spark, categories_path)
-    videos = op.rollup_videos(read_trending(spark, trending_path, mode=mode), cats)
+    videos = op.rollup_videos(read_trending(spark, trending_path, mode=mode))
     result = menu_query(spark, choice, videos, cats, ids, k, year)
     if out_dir:
         target = f"{out_dir.rstrip('/')}/{output_name(choice, k, year)}"
