@@ -119,3 +119,11 @@ def test_quoted_fields_survive_csv_sink(spark, records, workdir):
     write_table(records.where("video_id = 'v03'").select("video_id", "description"), target, "csv")
     back = spark.read.option("header", True).option("escape", '"').csv(target).first()
     assert back.description == 'a "quoted" desc, with comma'
+
+
+def test_cli_explain(golden_csv, categories_json, capsys):
+    from trendstats.__main__ import main
+
+    assert main(["--explain", "menu", "7", golden_csv, categories_json, "--ids", "10,24", "--k", "3"], stop=False) == 0
+    plan = capsys.readouterr().out
+    assert "TakeOrderedAndProject" in plan and "== Physical Plan ==" in plan

@@ -1,7 +1,7 @@
 """Command line: the menu entries and the standalone jobs.
 
     python -m trendstats categories CATEGORIES_JSON
-    python -m trendstats menu CHOICE INPUT CATEGORIES_JSON --ids 10,24 [--k 10] [--year 2018] [--out DIR]
+    python -m trendstats [--explain] menu CHOICE INPUT CATEGORIES_JSON --ids 10,24 [--k 10] [--year 2018] [--out DIR]
     python -m trendstats views-count INPUT OUT [--categories JSON]
     python -m trendstats likes-count INPUT OUT [--categories JSON]
     python -m trendstats views-sort INPUT OUT [--categories JSON]
@@ -34,6 +34,7 @@ def build_parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="trendstats")
     p.add_argument("--master", default=None)
     p.add_argument("--mode", default="csv", choices=["csv", "line"])
+    p.add_argument("--explain", action="store_true", help="print the formatted plan of a menu entry instead of running it")
     sub = p.add_subparsers(dest="cmd", required=True)
 
     s = sub.add_parser("categories")
@@ -92,6 +93,12 @@ def main(argv: list[str] | None = None, stop: bool = True) -> int:
             op.unknown_categories(spark, _ids(args.ids), cats).show(1000, truncate=False)
         else:
             op.list_categories(cats).show(1000, truncate=False)
+    elif args.cmd == "menu" and args.explain:
+        from trendstats.sources import read_trending
+
+        cats = read_categories(spark, args.categories)
+        videos = op.rollup_videos(read_trending(spark, args.input, mode=args.mode))
+        menu.menu_query(spark, args.choice, videos, cats, _ids(args.ids), args.k, args.year).explain("formatted")
     elif args.cmd == "menu":
         df = menu.run_menu(
             spark, args.choice, args.input, args.categories, _ids(args.ids), args.out, args.k, args.year, args.mode
