@@ -127,3 +127,11 @@ def test_cli_explain(golden_csv, categories_json, capsys):
     assert main(["--explain", "menu", "7", golden_csv, categories_json, "--ids", "10,24", "--k", "3"], stop=False) == 0
     plan = capsys.readouterr().out
     assert "TakeOrderedAndProject" in plan and "== Physical Plan ==" in plan
+
+
+def test_cli_job_ids(golden_csv, categories_json, workdir):
+    from trendstats.__main__ import main
+
+    out = os.path.join(workdir, "vc_ids")
+    assert main(["views-count", golden_csv, out, "--categories", categories_json, "--ids", "24,31"], stop=False) == 0
+    assert sorted(read_lines(out)) == ["(Anime/Animation,91)", "(Entertainment,1049)"]

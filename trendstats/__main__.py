@@ -21,6 +21,7 @@ from __future__ import annotations
 import argparse
 import sys
 
+from trendstats.schema import FOCUS_IDS
 from trendstats.session import get_session
 
 
@@ -50,27 +51,32 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--year", type=int, default=2018)
     s.add_argument("--out", default=None)
 
+    focus = ",".join(str(i) for i in FOCUS_IDS)
     for name in ("views-count", "likes-count", "views-sort"):
         s = sub.add_parser(name)
         s.add_argument("input")
         s.add_argument("out")
         s.add_argument("--categories", default=None)
+        s.add_argument("--ids", default=focus)
 
     s = sub.add_parser("category-count")
     s.add_argument("input")
     s.add_argument("--categories", default=None)
+    s.add_argument("--ids", default=focus)
 
     for name in ("topk-views", "topk-likes"):
         s = sub.add_parser(name)
         s.add_argument("k", type=int)
         s.add_argument("input")
         s.add_argument("out")
+        s.add_argument("--ids", default=focus)
 
     s = sub.add_parser("date-range")
     s.add_argument("range")
     s.add_argument("input")
     s.add_argument("out")
     s.add_argument("--as-of", default=None)
+    s.add_argument("--ids", default=focus)
 
     s = sub.add_parser("filter-by-category")
     s.add_argument("category_id", type=int)
@@ -106,20 +112,30 @@ def main(argv: list[str] | None = None, stop: bool = True) -> int:
         if args.out is None or args.choice == 2:
             df.show(1000 if args.choice != 3 else 20, truncate=False)
     elif args.cmd == "views-count":
-        jobs.views_count(spark, args.input, args.out, args.categories, mode=args.mode).show(truncate=False)
+        jobs.views_count(spark, args.input, args.out, args.categories, _ids(args.ids), mode=args.mode).show(
+            truncate=False
+        )
     elif args.cmd == "likes-count":
-        jobs.likes_count(spark, args.input, args.out, args.categories, mode=args.mode).show(truncate=False)
+        jobs.likes_count(spark, args.input, args.out, args.categories, _ids(args.ids), mode=args.mode).show(
+            truncate=False
+        )
     elif args.cmd == "views-sort":
-        jobs.views_sort(spark, args.input, args.out, args.categories, mode=args.mode).show(truncate=False)
+        jobs.views_sort(spark, args.input, args.out, args.categories, _ids(args.ids), mode=args.mode).show(
+            truncate=False
+        )
     elif args.cmd == "category-count":
-        counts, summary = jobs.category_count(spark, args.input, args.categories, mode=args.mode)
+        counts, summary = jobs.category_count(spark, args.input, args.categories, _ids(args.ids), mode=args.mode)
         counts.show(truncate=False)
         summary.show(truncate=False)
     elif args.cmd in ("topk-views", "topk-likes"):
         metric = args.cmd.split("-")[1]
-        jobs.topk_records(spark, metric, args.k, args.input, args.out, mode=args.mode).show(truncate=False)
+        jobs.topk_records(spark, metric, args.k, args.input, args.out, _ids(args.ids), mode=args.mode).show(
+            truncate=False
+        )
     elif args.cmd == "date-range":
-        jobs.date_range(spark, args.range, args.input, args.out, args.as_of, mode=args.mode).show(truncate=False)
+        jobs.date_range(spark, args.range, args.input, args.out, args.as_of, _ids(args.ids), mode=args.mode).show(
+            truncate=False
+        )
     elif args.cmd == "filter-by-category":
         jobs.filter_by_category(spark, args.category_id, args.input, args.out, mode=args.mode).show(truncate=False)
     if stop:
