@@ -32,3 +32,16 @@ def test_stream_matches_batch(spark, records, workdir):
     q = start_category_totals(spark, incoming, out, ckpt, available_now=True)
     q.awaitTermination(120)
     assert rows(spark.read.parquet(out)) == rows(category_totals(records))
+
+
+def test_stream_totals_cli(spark, records, workdir):
+    from trendstats.__main__ import main
+
+    incoming = os.path.join(workdir, "incoming_cli")
+    os.makedirs(incoming)
+    with open(os.path.join(incoming, "day1.csv"), "w") as f:
+        f.write(GOLDEN_CSV)
+    out = os.path.join(workdir, "totals_cli")
+    args = ["stream-totals", incoming, out, os.path.join(workdir, "totals_cli_ckpt"), "--once"]
+    assert main(args, stop=False) == 0
+    assert rows(spark.read.parquet(out)) == rows(category_totals(records))

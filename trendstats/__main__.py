@@ -10,6 +10,7 @@
     python -m trendstats topk-likes K INPUT OUT
     python -m trendstats date-range RANGE INPUT OUT [--as-of YYYY-MM-DD]
     python -m trendstats filter-by-category ID INPUT OUT
+    python -m trendstats stream-totals INPUT_DIR OUT CHECKPOINT [--once] [--every "1 minute"]
 
 INPUT is a CSV file, directory or glob; ``--mode line`` selects the
 line-exact parser. Small results (counts, summaries, top-k lists) are shown
@@ -78,6 +79,14 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--as-of", default=None)
     s.add_argument("--ids", default=focus)
 
+    s = sub.add_parser("stream-totals")
+    s.add_argument("input_dir")
+    s.add_argument("out")
+    s.add_argument("checkpoint")
+    s.add_argument("--ids", default=focus)
+    s.add_argument("--once", action="store_true", help="process the files present, then stop")
+    s.add_argument("--every", default="1 minute", help="trigger interval when running continuously")
+
     s = sub.add_parser("filter-by-category")
     s.add_argument("category_id", type=int)
     s.add_argument("input")
@@ -136,6 +145,14 @@ def main(argv: list[str] | None = None, stop: bool = True) -> int:
         jobs.date_range(spark, args.range, args.input, args.out, args.as_of, _ids(args.ids), mode=args.mode).show(
             truncate=False
         )
+    elif args.cmd == "stream-totals":
+        from trendstats.streaming import start_category_totals
+
+        query = start_category_totals(
+            spark, args.input_dir, args.out, args.checkpoint, _ids(args.ids),
+            available_now=args.once, processing_time=None if args.once else args.every,
+        )
+        query.awaitTermination()
     elif args.cmd == "filter-by-category":
         jobs.filter_by_category(spark, args.category_id, args.input, args.out, mode=args.mode).show(truncate=False)
     if stop:
