@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendstats.llm import decontam, simhash, toxicity
+from trendstats.llm import decontam, pii, simhash, toxicity
 from trendstats.llm.common import read_table
 from trendstats.llm.queries import mixed
 from trendstats.session import ensure_checkpoint_dir
@@ -32,6 +32,11 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontam.decontaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the text is replaced by its kind."""
+    return pii.redact(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words taken of each document for the target weights."""
     return mixed(docs, read_table(spark, sf_dir, "labels"))
@@ -41,6 +46,7 @@ STAGES = [
     ("toxicity", drop_toxic),
     ("simhash_near_dedup", drop_near_duplicates),
     ("decontamination", drop_contaminated),
+    ("pii", redact_pii),
     ("mix_sources", mix),
 ]
 

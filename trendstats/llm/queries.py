@@ -11,10 +11,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendstats.llm import decontam, mixing, simhash, toxicity
+from trendstats.llm import decontam, mixing, pii, simhash, toxicity
 from trendstats.llm.common import read_table, spare
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    into = spare(docs, "__pii")
+    found = pii.find(docs, into, pii.fit(docs))
+    spans = F.col(into)["base"]
+    kinds = F.transform(spans, lambda x: x["k"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{kind}")
+        for k, kind in enumerate(pii.KINDS)
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.listed(spans), 256).alias("base_sha256"),
+        pii.listed(F.col(into)["spans"]).alias("spans"),
+    )
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     into = spare(docs, "__hits")
@@ -69,6 +85,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op3_decontamination": op3_decontamination,
     "op6_simhash": op6_simhash,
     "op7_mix_sources": op7_mix_sources,
