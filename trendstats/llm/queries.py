@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendstats.llm import decontam, mixing, pii, simhash, toxicity
+from trendstats.llm import decontam, mixing, pii, simhash, spotsigs, toxicity
 from trendstats.llm.common import read_table, spare
 
 
@@ -84,12 +84,28 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = spotsigs.with_next(read_table(spark, sf_dir, "documents"))
+    pairs = pairs.withColumn("edited", spotsigs.edited(F.col("text"), F.col("next_text")))
+    pairs = spotsigs.with_signatures(pairs, "edited_sigs", F.col("edited"))
+    return pairs.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        spotsigs.text_of(F.col("sigs")).alias("fingerprint"),
+        spotsigs.text_of(F.col("edited_sigs")).alias("edited_fingerprint"),
+        spotsigs.likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),
+        spotsigs.likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op3_decontamination": op3_decontamination,
     "op6_simhash": op6_simhash,
     "op7_mix_sources": op7_mix_sources,
     "op9_toxicity": op9_toxicity,
+    "op10_spotsigs": op10_spotsigs,
 }
 
 ORACLE: dict[str, str] = {}
