@@ -68,7 +68,7 @@ def with_signatures(df: DataFrame, into: str, text: Column, anchors=ANCHORS, cha
     )
     out = out.withColumn(found, F.sort_array(F.array_distinct(F.array_compact(chains))))
     whole = F.array(F.when(F.size(words) > 0, F.xxhash64(F.array_join(words, " "))).otherwise(F.xxhash64(text)))
-    sets = F.when(F.size(found) > 0, found).when(F.length(text) > 0, whole).otherwise(F.array().cast("array<bigint>"))
+    sets = F.when(F.size(found) > 0, F.col(found)).when(F.length(text) > 0, whole).otherwise(F.array().cast("array<bigint>"))
     return out.withColumn(into, sets).drop(words, content, at, found)
 
 
