@@ -8,23 +8,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendstats.llm import decontam, mixing, pii, simhash, spotsigs, toxicity
+from trendstats.llm import decontam, mixing, pii, secrets, simhash, spotsigs, toxicity
 from trendstats.llm.common import read_table, spare
 
 
+def _counts(spans: Column, kinds: tuple[str, ...]) -> list[Column]:
+    """``n_<kind>`` columns of an array of numbered spans."""
+    numbers = F.transform(spans, lambda x: x["k"])
+    return [
+        (F.size(numbers) - F.size(F.array_remove(numbers, k))).cast("long").alias(f"n_{kind}")
+        for k, kind in enumerate(kinds)
+    ]
+
+
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     into = spare(docs, "__pii")
     found = pii.find(docs, into, pii.fit(docs))
     spans = F.col(into)["base"]
-    kinds = F.transform(spans, lambda x: x["k"])
-    counts = [
-        (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{kind}")
-        for k, kind in enumerate(pii.KINDS)
-    ]
+    counts = _counts(spans, pii.KINDS)
     return found.select(
         "doc_id", *counts, F.sha2(pii.listed(spans), 256).alias("base_sha256"),
         pii.listed(F.col(into)["spans"]).alias("spans"),
@@ -47,6 +52,17 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    into = spare(docs, "__secrets")
+    found = secrets.find(docs, into)
+    spans = F.col(into)["base"]
+    return found.select(
+        "doc_id", *_counts(spans, secrets.KINDS), F.sha2(secrets.listed(spans), 256).alias("base_sha256"),
+        secrets.listed(F.col(into)["spans"]).alias("spans"),
+    )
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
@@ -102,6 +118,7 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op3_decontamination": op3_decontamination,
+    "op5_secrets": op5_secrets,
     "op6_simhash": op6_simhash,
     "op7_mix_sources": op7_mix_sources,
     "op9_toxicity": op9_toxicity,
