@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendstats.llm import decontam, mixing, pii, secrets, simhash, spotsigs, toxicity
+from trendstats.llm import decontam, mixing, pii, secrets, simhash, spotsigs, toxicity, urls
 from trendstats.llm.common import read_table, spare
 
 
@@ -88,6 +88,21 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", "source")
 
 
+# The rules of the url query (host, path, verdict).
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = urls.judge(read_table(spark, sf_dir, "pages"), urls.rules_table(spark, URL_RULES))
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     into = spare(docs, "__score")
@@ -121,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secrets": op5_secrets,
     "op6_simhash": op6_simhash,
     "op7_mix_sources": op7_mix_sources,
+    "op8_url_filter": op8_url_filter,
     "op9_toxicity": op9_toxicity,
     "op10_spotsigs": op10_spotsigs,
 }
