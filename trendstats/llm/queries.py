@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendstats.llm import decontam, mixing, pii, secrets, simhash, spotsigs, toxicity, urls
+from trendstats.llm import decontam, mixing, pii, secrets, simhash, spotsigs, tokens, toxicity, urls
 from trendstats.llm.common import read_table, spare
 
 
@@ -52,6 +52,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tokens.token_counts(read_table(spark, sf_dir, "documents"), tokens.read_ranks())
+    return found.select("doc_id", "n_tokens")
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     into = spare(docs, "__secrets")
@@ -133,6 +138,7 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op3_decontamination": op3_decontamination,
+    "op4_token_counts": op4_token_counts,
     "op5_secrets": op5_secrets,
     "op6_simhash": op6_simhash,
     "op7_mix_sources": op7_mix_sources,
