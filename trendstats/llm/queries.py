@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendstats.llm import decontam, mixing, pii, secrets, simhash, spotsigs, tokens, toxicity, urls
+from trendstats.llm import decontam, lm, mixing, pii, secrets, simhash, spotsigs, tokens, toxicity, urls
 from trendstats.llm.common import read_table, spare
 
 
@@ -36,6 +36,14 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm.score(read_table(spark, sf_dir, "documents"))
+    mean = F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words"))
+    return found.select(
+        "doc_id", "n_words", "n_seen", F.round("score", 6).alias("score"), F.round(mean, 6).alias("score_per_word")
+    )
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     into = spare(docs, "__hits")
@@ -137,6 +145,7 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_lm_scores": op2_lm_scores,
     "op3_decontamination": op3_decontamination,
     "op4_token_counts": op4_token_counts,
     "op5_secrets": op5_secrets,
