@@ -11,15 +11,13 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from tests.fixtures import GOLDEN_CSV, category_json  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = os.environ.get("TRENDSTATS_ORACLE_SF", "/root/testdata/sf0.001")
+SF_ORACLE = os.environ.get("TRENDSTATS_ORACLE_SF", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
 
-    from trendstats.session import ensure_checkpoint_dir
-
     s = (
         SparkSession.builder.master("local[*]")
         .appName("trendstats-tests")
@@ -29,7 +27,6 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(s)
     yield s
     s.stop()
 

@@ -43,8 +43,11 @@ def test_views_sort_job(spark, golden_csv, categories_json, workdir):
     lines = []
     for f in sorted(glob.glob(os.path.join(out, "part-*"))):
         lines += open(f).read().splitlines()
-    assert lines[0].startswith("Entertainment: 24,v04,")
-    assert lines[-1].startswith("Music: 10,v06,")
+    # the whole record: 16 fields, the date and the flags as they were read
+    assert lines[0] == (
+        'Entertainment: v04,18.01.02,Chan comma,"B, Inc",24,2018-02-28T00:00:00.000Z,x,50,5,0,5,http://t/4,False,False,False,desc'
+    )
+    assert lines[-1].startswith("Music: v06,18.02.02,Big,")
     assert len(lines) == summary.n_output == 11
 
 

@@ -43,3 +43,30 @@ def test_hot_group_spans_partitions(spark):
 def test_empty_input(spark):
     df = make(spark).where("g < 0")
     assert number_within(df, ["g"], [F.asc("k")], partitions=4).count() == 0
+
+
+def test_equal_rows_are_spread(spark):
+    """Half the rows are equal in group and order: they span partitions."""
+    from pyspark.sql import DataFrame
+
+    df = spark.range(40000, numPartitions=8).select(
+        F.lit(1).alias("g"), F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id")).alias("k")
+    )
+    seen = {}
+    keep = DataFrame.checkpoint
+
+    def spy(self, *args, **kwargs):
+        out = keep(self, *args, **kwargs)
+        if "_pos" in out.columns:
+            seen["largest"] = out.groupBy("_part").count().agg(F.max("count")).first()[0]
+        return out
+
+    kind = type(df)
+    keep = kind.checkpoint
+    kind.checkpoint = spy
+    try:
+        numbered = number_within(df, ["g"], [F.asc("k")], partitions=16)
+        assert numbered.agg(F.count_distinct("rank")).first()[0] == 40000
+    finally:
+        kind.checkpoint = keep
+    assert seen["largest"] < 8000

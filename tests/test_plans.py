@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 
+from pyspark.sql import functions as F
+
 from trendstats import operators as op
 from trendstats.plans.catalog import QUERIES
 from tests.conftest import SF_SMALL
@@ -53,13 +55,44 @@ def test_clean_table_pushdown_and_pruning(spark, records, workdir, capsys):
     assert sorted(r.video_id for r in q.collect()) == ["v01", "v01", "v02", "v02", "v04", "v06", "v06"]
 
 
-def test_dimension_broadcast_is_size_checked(spark, cats, capsys):
-    from pyspark.sql import functions as F
+def test_valid_records_pushes_its_tests_down(spark, records, workdir, capsys):
+    from trendstats.sources import valid_records
+
+    path = os.path.join(workdir, "flat")
+    valid_records(records).drop("_malformed").write.parquet(path)
+    p = plan(valid_records(spark.read.parquet(path), metrics=("views",)), capsys)
+    pushed = next(line for line in p.splitlines() if "PushedFilters" in line)
+    assert "IsNotNull(video_id)" in pushed and "GreaterThanOrEqual(views,0)" in pushed
 
-    from trendstats.operators.joins import bounded_broadcast
 
-    assert "BroadcastExchange" in plan(spark.range(100).withColumnRenamed("id", "category_id").join(
-        bounded_broadcast(cats), "category_id"), capsys, "simple")
+def test_dimension_broadcast_is_size_checked(spark, cats, capsys):
     big = spark.range(50).select(F.col("id").cast("int").alias("category_id"))
-    unhinted = bounded_broadcast(big, max_rows=10)
-    assert unhinted is big  # over the bound: no hint, the optimizer decides
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    try:
+        spark.conf.set(limit, "-1")  # no dimension is small enough
+        assert "Broadcast" not in plan(op.with_category(big, cats), capsys, "simple")
+    finally:
+        spark.conf.set(limit, before)
+
+
+def test_topk_within_never_meets_a_whole_group(spark, capsys):
+    df = spark.range(1000).select(F.lit(1).alias("g"), "id")
+    for k in (5, 999):
+        p = plan(op.topk_within(df, ["g"], [F.asc("id")], k), capsys, "simple")
+        assert "_bucket" in p
+    got = op.topk_within(df, ["g"], [F.asc("id")], 5000)
+    assert sorted((r.rank, r.id) for r in got.collect()) == [(i + 1, i) for i in range(1000)]
+
+
+def test_clean_table_merges_small_files(spark, records, workdir):
+    import glob
+
+    from trendstats.sinks import write_clean_table
+    from trendstats.sources import valid_records
+
+    path = os.path.join(workdir, "clean_merged")
+    rows = valid_records(records).drop("_malformed").repartition(8)
+    write_clean_table(rows, path)
+    categories = rows.select("category_id").distinct().count()
+    assert len(glob.glob(os.path.join(path, "*", "*.parquet"))) == categories

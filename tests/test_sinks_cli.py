@@ -135,3 +135,62 @@ def test_cli_job_ids(golden_csv, categories_json, workdir):
     out = os.path.join(workdir, "vc_ids")
     assert main(["views-count", golden_csv, out, "--categories", categories_json, "--ids", "24,31"], stop=False) == 0
     assert sorted(read_lines(out)) == ["(Anime/Animation,91)", "(Entertainment,1049)"]
+
+
+def test_iso_dates_reach_the_video_csv(golden_csv, categories_json, workdir):
+    """The trending date is written as it was read, whatever its format."""
+    from trendstats.__main__ import main
+
+    iso = os.path.join(workdir, "iso_input", "iso.csv")
+    os.makedirs(os.path.dirname(iso))
+    with open(golden_csv) as f, open(iso, "w") as g:
+        g.write(f.read().replace("18.01.02", "2018-02-01").replace("18.02.02", "2018-02-02"))
+    for extra, name in (([], "iso_default"), (["--date-format", "yyyy-MM-dd"], "iso_named")):
+        out = os.path.join(workdir, name)
+        assert main([*extra, "menu", "7", iso, categories_json, "--ids", "0", "--k", "3", "--out", out], stop=False) == 0
+        rows = list(csv.DictReader(read_lines(os.path.join(out, "top3views"))))
+        assert [r["trending_date"] for r in rows] == ["2018-02-01"] * 3
+
+
+def test_empty_category_gets_a_header_and_unknown_is_refused(golden_csv, categories_json, workdir):
+    from trendstats.__main__ import main
+
+    out = os.path.join(workdir, "empty_category")
+    assert main(["menu", "3", golden_csv, categories_json, "--ids", "10,17,99", "--out", out], stop=False) == 0
+    folder = os.path.join(out, "filter_videos")
+    assert sorted(d for d in os.listdir(folder) if d.startswith("category_id")) == ["category_id=10", "category_id=17"]
+    assert read_lines(os.path.join(folder, "category_id=17")) == [
+        "title,category_id:category,publish_date,trending_date,channel_title,views,likes,dislikes,URL"]
+
+
+def test_unknown_ids_are_refused_in_every_entry(spark, records, cats):
+    from trendstats.plans.menu import MENU, menu_query
+
+    videos = op.rollup_videos(records)
+    for choice in MENU:
+        got = menu_query(spark, choice, videos, cats, [10, 99], k=50)
+        assert {r.category_id for r in got.collect()} == {10}, choice
+
+
+def test_cli_shows_every_row(golden_csv, categories_json, workdir, capsys):
+    from tests.fixtures import CATEGORY_ROWS
+    from trendstats.__main__ import main
+
+    ids = ",".join(str(c) for c, _, _ in CATEGORY_ROWS)
+    out = os.path.join(workdir, "many")
+    assert main(["menu", "2", golden_csv, categories_json, "--ids", ids], stop=False) == 0
+    shown = capsys.readouterr().out
+    assert all(f"|{c} " in shown for c, _, _ in CATEGORY_ROWS)
+    assert main(["date-range", "no-date-filter", golden_csv, out, "--ids", ids], stop=False) == 0
+    shown = capsys.readouterr().out
+    assert "only showing" not in shown and "|NULL" in shown  # the total
+    assert main(["menu", "7", golden_csv, categories_json, "--k", "1500"], stop=False) == 2  # needs --out
+
+
+def test_job_summary_comes_from_one_pass(spark, golden_csv, workdir):
+    from trendstats.plans import jobs
+    from trendstats.sources import read_trending
+
+    ids = [10, 24, 25, 27, 28]
+    got = jobs.views_count(spark, golden_csv, os.path.join(workdir, "observed"), ids=ids).first().asDict()
+    assert got == op.run_summary(read_trending(spark, golden_csv), ids, ("views",)).first().asDict()

@@ -1,7 +1,7 @@
 """Command line: the menu entries and the standalone jobs.
 
     python -m trendstats categories CATEGORIES_JSON
-    python -m trendstats [--explain] menu CHOICE INPUT CATEGORIES_JSON --ids 10,24 [--k 10] [--year 2018] [--out DIR]
+    python -m trendstats [--explain] menu CHOICE INPUT CATEGORIES_JSON --ids 10,24 [--k 10] [--year 2018] --out DIR
     python -m trendstats views-count INPUT OUT [--categories JSON]
     python -m trendstats likes-count INPUT OUT [--categories JSON]
     python -m trendstats views-sort INPUT OUT [--categories JSON]
@@ -13,8 +13,8 @@
     python -m trendstats stream-totals INPUT_DIR OUT CHECKPOINT [--once] [--every "1 minute"]
 
 INPUT is a CSV file, directory or glob; ``--mode line`` selects the
-line-exact parser. Small results (counts, summaries, top-k lists) are shown
-with ``show``; everything else goes only to OUT.
+line-exact parser. Counts and summaries (a row per category at most) are
+shown whole; everything else goes only to OUT.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from trendstats.schema import FOCUS_IDS
+from trendstats.schema import FOCUS_IDS, TRENDING_DATE_FORMAT
 from trendstats.session import get_session
 
 
@@ -36,6 +36,7 @@ def build_parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="trendstats")
     p.add_argument("--master", default=None)
     p.add_argument("--mode", default="csv", choices=["csv", "line"])
+    p.add_argument("--date-format", default=TRENDING_DATE_FORMAT, help="pattern of the trending date")
     p.add_argument("--explain", action="store_true", help="print the formatted plan of a menu entry instead of running it")
     sub = p.add_subparsers(dest="cmd", required=True)
 
@@ -101,60 +102,59 @@ def main(argv: list[str] | None = None, stop: bool = True) -> int:
     from trendstats.plans import jobs, menu
     from trendstats.sources import read_categories
 
+    def show(df, rows: int) -> None:
+        """Print a result that has at most ``rows`` rows, all of them."""
+        df.show(max(1, rows), truncate=False)
+
+    options = {"mode": args.mode, "trending_date_format": args.date_format}
+    ids = _ids(getattr(args, "ids", None))
     if args.cmd == "categories":
         cats = read_categories(spark, args.categories)
-        if args.ids:
-            op.selected_categories(spark, _ids(args.ids), cats).show(1000, truncate=False)
-            op.unknown_categories(spark, _ids(args.ids), cats).show(1000, truncate=False)
+        if ids:
+            show(op.selected_categories(spark, ids, cats), len(ids))
+            show(op.unknown_categories(spark, ids, cats), len(ids))
         else:
-            op.list_categories(cats).show(1000, truncate=False)
+            show(op.list_categories(cats), cats.count())
     elif args.cmd == "menu" and args.explain:
         from trendstats.sources import read_trending
 
         cats = read_categories(spark, args.categories)
-        videos = op.rollup_videos(read_trending(spark, args.input, mode=args.mode))
-        menu.menu_query(spark, args.choice, videos, cats, _ids(args.ids), args.k, args.year).explain("formatted")
+        videos = op.rollup_videos(read_trending(spark, args.input, **options))
+        menu.menu_query(spark, args.choice, videos, cats, ids, args.k, args.year).explain("formatted")
     elif args.cmd == "menu":
+        if args.out is None and args.choice != 2:
+            print("this entry needs --out: its result may be large", file=sys.stderr)
+            return 2
         df = menu.run_menu(
-            spark, args.choice, args.input, args.categories, _ids(args.ids), args.out, args.k, args.year, args.mode
+            spark, args.choice, args.input, args.categories, ids, args.out, args.k, args.year, **options
         )
-        if args.out is None or args.choice == 2:
-            df.show(1000 if args.choice != 3 else 20, truncate=False)
+        if args.choice == 2:
+            show(df, len(ids) if ids and ids != [0] else read_categories(spark, args.categories).count())
     elif args.cmd == "views-count":
-        jobs.views_count(spark, args.input, args.out, args.categories, _ids(args.ids), mode=args.mode).show(
-            truncate=False
-        )
+        show(jobs.views_count(spark, args.input, args.out, args.categories, ids, **options), 1)
     elif args.cmd == "likes-count":
-        jobs.likes_count(spark, args.input, args.out, args.categories, _ids(args.ids), mode=args.mode).show(
-            truncate=False
-        )
+        show(jobs.likes_count(spark, args.input, args.out, args.categories, ids, **options), 1)
     elif args.cmd == "views-sort":
-        jobs.views_sort(spark, args.input, args.out, args.categories, _ids(args.ids), mode=args.mode).show(
-            truncate=False
-        )
+        show(jobs.views_sort(spark, args.input, args.out, args.categories, ids, **options), 1)
     elif args.cmd == "category-count":
-        counts, summary = jobs.category_count(spark, args.input, args.categories, _ids(args.ids), mode=args.mode)
-        counts.show(truncate=False)
-        summary.show(truncate=False)
+        counts, summary = jobs.category_count(spark, args.input, args.categories, ids, **options)
+        show(counts, len(ids))
+        show(summary, 1)
     elif args.cmd in ("topk-views", "topk-likes"):
         metric = args.cmd.split("-")[1]
-        jobs.topk_records(spark, metric, args.k, args.input, args.out, _ids(args.ids), mode=args.mode).show(
-            truncate=False
-        )
+        show(jobs.topk_records(spark, metric, args.k, args.input, args.out, ids, **options), len(ids) + 1)
     elif args.cmd == "date-range":
-        jobs.date_range(spark, args.range, args.input, args.out, args.as_of, _ids(args.ids), mode=args.mode).show(
-            truncate=False
-        )
+        show(jobs.date_range(spark, args.range, args.input, args.out, args.as_of, ids, **options), len(ids) + 1)
     elif args.cmd == "stream-totals":
         from trendstats.streaming import start_category_totals
 
         query = start_category_totals(
-            spark, args.input_dir, args.out, args.checkpoint, _ids(args.ids),
+            spark, args.input_dir, args.out, args.checkpoint, ids,
             available_now=args.once, processing_time=None if args.once else args.every,
         )
         query.awaitTermination()
     elif args.cmd == "filter-by-category":
-        jobs.filter_by_category(spark, args.category_id, args.input, args.out, mode=args.mode).show(truncate=False)
+        show(jobs.filter_by_category(spark, args.category_id, args.input, args.out, **options), 1)
     if stop:
         spark.stop()
     return 0

@@ -9,9 +9,9 @@ from trendstats.operators.aggregate import (
     run_summary,
     sum_likes_dislikes_by_category,
     sum_views_by_category,
+    summary_columns,
 )
 from trendstats.operators.joins import (
-    bounded_broadcast,
     in_categories,
     list_categories,
     selected_categories,
@@ -21,6 +21,7 @@ from trendstats.operators.joins import (
     with_category,
 )
 from trendstats.operators.rank import (
+    RECORD_OUT,
     filter_records_by_category,
     filter_videos_by_category,
     number_within,
@@ -35,7 +36,7 @@ from trendstats.operators.rank import (
 from trendstats.operators.select import display_ready, published_in, published_since, valid_publish_date
 
 __all__ = [
-    "bounded_broadcast",
+    "RECORD_OUT",
     "count_in_range",
     "count_records_by_category",
     "count_videos_by_category",
@@ -56,6 +57,7 @@ __all__ = [
     "sort_records_by_views",
     "sum_likes_dislikes_by_category",
     "sum_views_by_category",
+    "summary_columns",
     "topk",
     "topk_records_by_category",
     "topk_videos",

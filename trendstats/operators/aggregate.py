@@ -10,11 +10,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendstats.functions.columns import watch_url
-from trendstats.operators.joins import fits_bound, in_categories, selection, with_category
+from trendstats.operators.joins import in_categories, selection, with_category
 from trendstats.operators.select import published_since
 from trendstats.schema import METRICS, VIDEO_COLUMNS
 from trendstats.sources.trending import valid_records, validity
@@ -34,11 +34,13 @@ def rollup_videos(records: DataFrame, cats: DataFrame | None = None) -> DataFram
     With ``cats``, adds the category title (``category``).
     """
     valid = valid_records(records, metrics=METRICS, need_date=True)
+    # the trending date as it was written, where the source keeps it
+    text = [c for c in ("trending_date_text",) if c in records.columns]
     pick = F.min(
         F.struct(
             F.col("trending_date").isNull().alias("_late"),
             F.col("trending_date"),
-            *[F.col(c) for c in _PICK_FIELDS],
+            *[F.col(c) for c in (*text, *_PICK_FIELDS)],
         )
     ).alias("_pick")
     rolled = valid.groupBy("video_id").agg(*[F.sum(m).alias(m) for m in METRICS], pick)
@@ -51,10 +53,11 @@ def rollup_videos(records: DataFrame, cats: DataFrame | None = None) -> DataFram
         F.col("_pick.channel_title").alias("channel_title"),
         *METRICS,
         watch_url("video_id").alias("url"),
+        *[F.col(f"_pick.{c}").alias(c) for c in text],
     )
     if cats is None:
         return out
-    return with_category(out, cats).select(*VIDEO_COLUMNS)
+    return with_category(out, cats).select(*VIDEO_COLUMNS, *text)
 
 
 def count_videos_by_category(
@@ -67,11 +70,6 @@ def count_videos_by_category(
         dim = dim.join(selection(spark, ids).select("category_id"), "category_id", "left_semi")
     chosen = in_categories(videos.select("category_id"), ids, cats)
     counts = chosen.groupBy("category_id").agg(F.count(F.lit(1)).alias("n_videos"))
-    # One row per allowed category: at most len(ids), or at most the
-    # dimension's rows once it passed its size check. Otherwise AQE decides
-    # from the measured size.
-    if ids is not None or fits_bound(cats.select("category_id")):
-        counts = F.broadcast(counts)
     return dim.join(counts, "category_id", "left").select(
         "category_id", "category", F.coalesce(F.col("n_videos"), F.lit(0)).cast("bigint").alias("n_videos")
     )
@@ -126,21 +124,29 @@ def count_in_range(
     return counts_with_total(spark, valid, ids)
 
 
-def run_summary(records: DataFrame, ids: Sequence[int], metrics: Sequence[str] = ()) -> DataFrame:
-    """One row of run counts: records read, malformed (wrong width), usable
-    for a job needing ``metrics``, and of those in the focus categories;
-    ``n_skipped`` = read − (usable and in focus); ``n_groups`` = focus
-    categories with at least one usable record (the output groups of the
-    per-category sums)."""
+def summary_columns(records: DataFrame, ids: Sequence[int], metrics: Sequence[str] = ()) -> list[Column]:
+    """The run counts as plain aggregates (usable in ``observe`` too):
+    records read, malformed (wrong width), usable for a job needing
+    ``metrics``, and of those in the focus categories; ``n_skipped`` = read −
+    (usable and in focus); ``n_groups`` = focus categories with at least one
+    usable record (the output groups of the per-category sums)."""
     ok = validity(records, metrics)
     malformed = F.col("_malformed") if "_malformed" in records.columns else F.lit(False)
-    focus = F.col("category_id").isin(sorted({int(i) for i in ids}))
-    in_focus = ok & F.coalesce(focus, F.lit(False))
-    return records.agg(
+    focus = sorted({int(i) for i in ids})
+    in_focus = ok & F.coalesce(F.col("category_id").isin(focus), F.lit(False))
+    groups = F.lit(0).cast("bigint")
+    for i in focus:
+        groups = groups + F.coalesce(F.max((in_focus & F.coalesce(F.col("category_id") == i, F.lit(False))).cast("bigint")), F.lit(0))
+    return [
         F.count(F.lit(1)).alias("n_read"),
         F.count_if(malformed).alias("n_malformed"),
         F.count_if(ok).alias("n_valid"),
         F.count_if(in_focus).alias("n_output"),
         F.count_if(~in_focus).alias("n_skipped"),
-        F.count_distinct(F.when(in_focus, F.col("category_id"))).alias("n_groups"),
-    )
+        groups.alias("n_groups"),
+    ]
+
+
+def run_summary(records: DataFrame, ids: Sequence[int], metrics: Sequence[str] = ()) -> DataFrame:
+    """One row of run counts, see ``summary_columns``."""
+    return records.agg(*summary_columns(records, ids, metrics))

@@ -1,8 +1,9 @@
 """Category lookups: enrichment, selection lists and their checks.
 
-The category dimension is small by nature, but a join only broadcasts it
-after checking that bound (``bounded_broadcast``); beyond the bound the
-plan keeps an ordinary shuffled join.
+The category dimension is small by nature, but nothing here assumes it: the
+joins carry no hint, so the planner broadcasts the dimension only while its
+size in bytes is under ``spark.sql.autoBroadcastJoinThreshold`` (checked
+again at run time by AQE) and keeps a shuffled join beyond that.
 """
 
 from __future__ import annotations
@@ -12,44 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Largest dimension we broadcast without asking the optimizer (rows).
-DIMENSION_BROADCAST_ROWS = 100_000
-
-
-_SIZE_CHECKS: dict[tuple, bool] = {}
-
-
-def fits_bound(df: DataFrame, max_rows: int = DIMENSION_BROADCAST_ROWS) -> bool:
-    """Does ``df`` have at most ``max_rows`` rows?
-
-    One small job that stops after ``max_rows + 1`` rows; the answer is
-    remembered for the same plan over the same input files.
-    """
-    try:
-        files = tuple(sorted(df.inputFiles()))
-        # Only plans over files are remembered; others are checked each time.
-        key = (df.semanticHash(), files, max_rows) if files else None
-    except Exception:
-        key = None
-    fits = _SIZE_CHECKS.get(key) if key is not None else None
-    if fits is None:
-        fits = df.limit(max_rows + 1).count() <= max_rows
-        if key is not None:
-            _SIZE_CHECKS[key] = fits
-    return fits
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``
-    (the optimizer then picks the join, a shuffled one for a big side)."""
-    return F.broadcast(df) if fits_bound(df, max_rows) else df
-
 
 def with_category(df: DataFrame, cats: DataFrame, name: str = "category") -> DataFrame:
     """Add the category title (``null`` for an id missing from the
     dimension; the row is kept)."""
-    dim = bounded_broadcast(cats.select("category_id", F.col("title").alias(name)))
-    return df.join(dim, "category_id", "left")
+    return df.join(cats.select("category_id", F.col("title").alias(name)), "category_id", "left")
 
 
 def titled(df: DataFrame, cats: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -84,7 +52,7 @@ def selected_categories(spark: SparkSession, ids: Sequence[int], cats: DataFrame
     """Chosen ids that exist in the dimension, numbered 1.. in choice order,
     with their titles (unknown ids are refused, duplicates kept once)."""
     sel = selection(spark, ids)
-    known = sel.join(bounded_broadcast(cats.select("category_id", "title")), "category_id", "inner")
+    known = sel.join(cats.select("category_id", "title"), "category_id", "inner")
     w = Window.orderBy("position")  # the selection is a bounded literal list
     return known.select(
         F.row_number().over(w).cast("bigint").alias("position"), "category_id", "title"
@@ -94,20 +62,17 @@ def selected_categories(spark: SparkSession, ids: Sequence[int], cats: DataFrame
 def unknown_categories(spark: SparkSession, ids: Sequence[int], cats: DataFrame) -> DataFrame:
     """Chosen ids missing from the dimension ("no category X")."""
     sel = selection(spark, ids)
-    return sel.join(bounded_broadcast(cats.select("category_id")), "category_id", "left_anti").select(
-        "category_id"
-    )
+    return sel.join(cats.select("category_id"), "category_id", "left_anti").select("category_id")
 
 
 def in_categories(df: DataFrame, ids: Sequence[int] | None, cats: DataFrame | None = None) -> DataFrame:
     """Rows whose category is one of ``ids``: one ``IN`` predicate, pushed to
     the scan where the column is a scan column.
 
-    ``ids=None`` means every id of the dimension ``cats`` (a semi join with
-    the size-checked dimension), or no filter at all without ``cats``.
+    With ``cats`` only ids of the dimension count (a semi join), so unknown
+    ids are refused; ``ids=None`` means every id of the dimension, or no
+    filter at all without ``cats``.
     """
-    if ids is None:
-        if cats is None:
-            return df
-        return df.join(bounded_broadcast(cats.select("category_id")), "category_id", "left_semi")
-    return df.where(F.col("category_id").isin(sorted({int(i) for i in ids})))
+    if ids is not None:
+        df = df.where(F.col("category_id").isin(sorted({int(i) for i in ids})))
+    return df if cats is None else df.join(cats.select("category_id"), "category_id", "left_semi")

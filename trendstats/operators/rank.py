@@ -2,9 +2,8 @@
 
 * Global top-k: ``orderBy(...).limit(k)``, planned as
   ``TakeOrderedAndProject`` (each task keeps k rows; no full sort).
-* Top-k per group: ``row_number() <= k``, planned as ``WindowGroupLimit``
-  before and after the shuffle, so at most k rows per group leave a task
-  however large (or skewed) the group is.
+* Top-k per group: ``row_number() <= k`` per (group, hash bucket), then per
+  group, so no task holds a whole group however large it or k is.
 * Full per-group numbering (``number_within``): a range-partitioned sort
   plus prefix counts, so a group larger than one task is split across
   many tasks instead of being gathered into one window partition.
@@ -22,12 +21,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendstats.functions.columns import dated_line, display_line
-from trendstats.operators.joins import bounded_broadcast, in_categories, with_category
+from trendstats.operators.joins import in_categories, with_category
 from trendstats.operators.select import published_in, published_since
 from trendstats.schema import VIDEO_COLUMNS, check_metric
 from trendstats.session import ensure_checkpoint_dir
 from trendstats.sources.trending import valid_records
 
+# Largest k whose survivors are numbered by one window a group.
+WINDOW_K = 999
+# Largest per-partition table of ``number_within`` that is broadcast.
+STATS_BYTES = 64 << 20
+
 # Record columns used as tie-breaks after the metric.
 RECORD_TIEBREAK = (
     "video_id",
@@ -43,8 +47,8 @@ RECORD_TIEBREAK = (
 
 def _video_columns(df: DataFrame) -> list[str]:
     """Video output columns present in ``df`` (``category`` only when the
-    rollup was given a dimension)."""
-    return [c for c in VIDEO_COLUMNS if c in df.columns]
+    rollup was given a dimension, the date text only when the source has it)."""
+    return [c for c in (*VIDEO_COLUMNS, "trending_date_text") if c in df.columns]
 
 
 def _check_k(k: int) -> int:
@@ -63,10 +67,23 @@ def topk(df: DataFrame, order: Sequence[Column], k: int, name: str = "rank") ->
 def topk_within(
     df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, name: str = "rank"
 ) -> DataFrame:
-    """The first ``k`` rows of each group in ``order``, numbered 1..k."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    ranked = df.withColumn(name, F.row_number().over(w))
-    return ranked.where(F.col(name) <= _check_k(k)).withColumn(name, F.col(name).cast("bigint"))
+    """The first ``k`` rows of each group in ``order``, numbered 1..k.
+
+    First each (group, hash bucket) keeps its k rows, with as many buckets as
+    shuffle partitions, so no task meets a whole group. The survivors, at
+    most buckets * k a group, are then numbered: by a window up to
+    ``WINDOW_K``, and range-partitioned (``number_within``) for a larger k,
+    where they need not fit one task."""
+    k = _check_k(k)
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bucketed = df.withColumn("_bucket", F.pmod(F.xxhash64(*df.columns), F.lit(buckets)))
+    w = Window.partitionBy(*by, "_bucket").orderBy(*order)
+    kept = bucketed.withColumn("_at", F.row_number().over(w)).where(F.col("_at") <= k).drop("_bucket", "_at")
+    if k > WINDOW_K:
+        return number_within(kept, by, order, name).where(F.col(name) <= k)
+    ranked = kept.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    return ranked.where(F.col(name) <= k).withColumn(name, F.col(name).cast("bigint"))
 
 
 def number_within(
@@ -79,8 +96,9 @@ def number_within(
     """Number every row 1..n within its group in ``order``, without putting a
     group into one task.
 
-    1. Range-partition on (group, order) and sort inside partitions; a hot
-       group spans many partitions. Each row gets its partition id and its
+    1. Range-partition on (group, order, a hashed row number) and sort inside
+       partitions; a hot group spans many partitions, and so do rows that are
+       equal in group and order. Each row gets its partition id and its
        position in the partition.
     2. The tagged rows are checkpointed to the shared checkpoint folder,
        which fixes the partition boundaries (range bounds come from a
@@ -88,20 +106,21 @@ def number_within(
     3. Per (partition, group): row count and first position; a running sum
        over partitions gives the rows of the group in earlier partitions.
        This table has at most partitions + groups rows; it is checkpointed
-       too and broadcast when its size check passes.
+       too and broadcast while it is under ``STATS_BYTES``.
     4. rank = rows before + (position − first position) + 1.
     """
-    spark = df.sparkSession
-    keys = [F.col(c) for c in by] + list(order)
+    salted = df.withColumn("_salt", F.xxhash64(F.monotonically_increasing_id()))
+    keys = [F.col(c) for c in by] + list(order) + [F.col("_salt")]
     # Without an explicit count AQE sizes the range partitions.
-    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    ranged = salted.repartitionByRange(partitions, *keys) if partitions else salted.repartitionByRange(*keys)
     tagged = (
         ranged
         .sortWithinPartitions(*keys)
+        .drop("_salt")
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id())
     )
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(df.sparkSession)
     tagged = tagged.checkpoint(eager=True)
     stats = tagged.groupBy("_part", *by).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -109,13 +128,14 @@ def number_within(
         "_part", *[F.col(c).alias(f"_s_{c}") for c in by], "_first",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
     )
-    # Small (partitions + groups rows); checkpointed so that the size check
-    # and the join below read it instead of recomputing it.
+    # Checkpointed so that the size check and the join below read it.
     stats = stats.withColumnRenamed("_part", "_s_part").checkpoint(eager=True)
+    width = 32 + sum((F.coalesce(F.octet_length(F.col(f"_s_{c}").cast("string")), F.lit(0)) + 16 for c in by), F.lit(0))
+    small = stats.agg(F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()["b"] <= STATS_BYTES
     cond = F.col("_part") == F.col("_s_part")
     for c in by:
         cond = cond & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
-    joined = tagged.join(bounded_broadcast(stats), cond, "inner")
+    joined = tagged.join(F.broadcast(stats) if small else stats, cond, "inner")
     rank = (F.col("_before") + F.col("_pos") - F.col("_first") + 1).cast("bigint")
     return joined.select(*df.columns, rank.alias(name))
 
@@ -167,10 +187,13 @@ RECORD_OUT = (
 )
 
 
-def sort_records_by_views(records: DataFrame, cats: DataFrame, ids: Sequence[int]) -> DataFrame:
-    """Focus-category records with a view count, views ascending."""
+def sort_records_by_views(
+    records: DataFrame, cats: DataFrame, ids: Sequence[int], extra: Sequence[str] = ()
+) -> DataFrame:
+    """Focus-category records with a view count, views ascending; ``extra``
+    names further record columns to keep."""
     valid = in_categories(valid_records(records, metrics=("views",)), ids)
-    out = with_category(valid, cats).select(*RECORD_OUT)
+    out = with_category(valid, cats).select(*RECORD_OUT, *extra)
     return out.orderBy("views", "category_id", *[c for c in RECORD_TIEBREAK if c != "views"])
 
 

@@ -8,18 +8,19 @@ fixed test parameters below. ``plans.oracle`` holds the equivalent SQL.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendstats import operators as op
-from trendstats.schema import RECORD_COLUMNS, VIDEO_COLUMNS
-from trendstats.session import ensure_checkpoint_dir
+from trendstats.functions.columns import single_line
+from trendstats.plans.menu import menu_query
+from trendstats.schema import HEADER_LINE, METRICS, RECORD_COLUMNS, VIDEO_COLUMNS
+from trendstats.session import remove, scratch
 from trendstats.sinks import write_snapshot_csv
 from trendstats.sources.tables import categories_from_tables, trending_from_tables
-from trendstats.sources.trending import as_field_map, read_trending, valid_records
+from trendstats.sources.trending import as_field_map, read_trending, rejected_records, valid_records
 
 # Test parameters (the adapter's categories are brand numbers 1-25 and the
 # dimension is the nation table, ids 0-24).
@@ -28,6 +29,8 @@ CHOSEN_WITH_UNKNOWN = (3, 7, 25, 99)  # a selection with ids missing from the di
 YEAR = 1998
 K_PER_CATEGORY = 5
 K_OVERALL = 10
+K_MANY = 1500  # beyond one window a group
+DIRT = 13  # order keys modulo this: 0-8 are bad in a way each
 AS_OF = dt.date(1998, 8, 31)
 SINGLE_CATEGORY = 10
 SUMMARY_RANGE = "last-year"
@@ -42,25 +45,12 @@ RANGE_QUERIES = {
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-# Input plans built once per session and folder. A DataFrame is an
-# immutable plan, so sharing it between queries only saves the repeated
-# analysis of the same adapter; every execution still scans the files.
-_INPUTS: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
-
-
-def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _INPUTS:
-        _INPUTS[key] = (trending_from_tables(spark, sf_dir), categories_from_tables(spark, sf_dir))
-    return _INPUTS[key]
-
-
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _inputs(spark, sf_dir)[0]
+    return trending_from_tables(spark, sf_dir)
 
 
 def _cats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _inputs(spark, sf_dir)[1]
+    return categories_from_tables(spark, sf_dir)
 
 
 def _videos(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,33 +157,124 @@ def field_map(spark, sf_dir):
     return as_field_map(recs.select(*RECORD_COLUMNS)).select(F.explode("fields").alias("key", "value"))
 
 
-_CSV_FOLDERS: dict[tuple[str, str], str] = {}
+def topk_records_many(spark, sf_dir):
+    return op.topk_records_by_category(_records(spark, sf_dir), "views", K_MANY, FOCUS)
+
+
+def menu_topk_known(spark, sf_dir):
+    """Menu entry 7 for a selection with unknown ids, which are refused."""
+    videos = _untitled_videos(spark, sf_dir)
+    return menu_query(spark, 7, videos, _cats(spark, sf_dir), CHOSEN_WITH_UNKNOWN, K_OVERALL)
+
+
+def topk_counts(spark, sf_dir):
+    """Display-ready records per focus category with the total."""
+    return op.counts_with_total(spark, op.display_ready(_records(spark, sf_dir)), FOCUS)
+
+
+def filtered_count(spark, sf_dir):
+    lines = op.filter_records_by_category(_records(spark, sf_dir), SINGLE_CATEGORY)
+    return lines.agg(F.count(F.lit(1)).alias("n_records"))
+
+
+def single_line_titles(spark, sf_dir):
+    """Titles that a line break splits, as one line each."""
+    broken = F.concat("title", F.lit("\r\n"), "channel_title", F.lit("\n"), F.col("views").cast("string"))
+    return _records(spark, sf_dir).select("video_id", single_line(broken).alias("line"))
 
 
-def _records_via_csv(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+def _via_files(spark: SparkSession, write, mode: str, query, trending_date_format: str) -> DataFrame:
+    """``query`` over records read back from files that ``write`` puts into a
+    folder. The result is checkpointed and the files are removed."""
+    folder = scratch(spark, "trending-csv")
+    write(folder)
+    records = read_trending(spark, folder, mode=mode, trending_date_format=trending_date_format)
+    result = query(records).checkpoint(eager=True)
+    remove(spark, folder)
+    return result
+
+
+def _via_csv(spark: SparkSession, sf_dir: str, mode: str, query) -> DataFrame:
     """The adapter rows as trending CSV files, read back with the CSV
-    source, so the query runs the original input path end to end. Spark
-    writes the files once per session and folder, into a fresh folder under
-    the shared checkpoint folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _CSV_FOLDERS:
-        folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/trending-csv-{uuid.uuid4().hex}"
-        write_snapshot_csv(_records(spark, sf_dir), folder)
-        _CSV_FOLDERS[key] = folder
-    return read_trending(spark, _CSV_FOLDERS[key], mode=mode, trending_date_format="yyyy-MM-dd")
+    source: the original input path end to end."""
+    return _via_files(spark, lambda to: write_snapshot_csv(_records(spark, sf_dir), to), mode, query, "yyyy-MM-dd")
 
 
 def rollup_videos_from_csv(spark, sf_dir):
-    return op.rollup_videos(_records_via_csv(spark, sf_dir, "csv"), _cats(spark, sf_dir))
+    cats = _cats(spark, sf_dir)
+    return _via_csv(spark, sf_dir, "csv", lambda r: op.rollup_videos(r, cats).select(*VIDEO_COLUMNS))
 
 
 def rollup_videos_from_csv_lines(spark, sf_dir):
-    return op.rollup_videos(_records_via_csv(spark, sf_dir, "line"), _cats(spark, sf_dir))
+    cats = _cats(spark, sf_dir)
+    return _via_csv(spark, sf_dir, "line", lambda r: op.rollup_videos(r, cats).select(*VIDEO_COLUMNS))
 
 
 def sum_likes_dislikes_from_csv_lines(spark, sf_dir):
-    records = _records_via_csv(spark, sf_dir, "line")
-    return op.sum_likes_dislikes_by_category(records, _cats(spark, sf_dir), FOCUS)
+    cats = _cats(spark, sf_dir)
+    return _via_csv(spark, sf_dir, "line", lambda r: op.sum_likes_dislikes_by_category(r, cats, FOCUS))
+
+
+def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every adapter row as a CSV line (``value``) that a rule on the order
+    key makes bad in one of nine ways, or leaves clean."""
+    kind = F.col("l_orderkey") % DIRT
+    title = F.col("title")
+    at = lambda n, bad, good: F.when(kind == n, bad).otherwise(good)
+    fields = [
+        F.col("video_id"),
+        F.col("trending_date").cast("string"),
+        F.when(kind == 2, F.concat(F.lit('"'), title, F.lit(', with comma"')))
+        .when(kind == 6, F.lit(""))
+        .when(kind == 7, F.concat(F.lit('"say ""'), title, F.lit('"""')))
+        .otherwise(title),
+        F.col("channel_title"),
+        at(8, F.lit("abc"), F.col("category_id").cast("string")),
+        at(5, F.lit("1/6/2018"), F.concat(F.col("publish_date").cast("string"), F.lit("T00:00:00.000Z"))),
+        F.lit("x"),
+        at(3, F.lit("n/a"), F.col("views").cast("string")),
+        at(4, F.lit("-5"), F.col("likes").cast("string")),
+        F.col("dislikes").cast("string"),
+        *[F.lit(v) for v in ("5", "thumb", "False", "False", "False", "text")],
+    ]
+    line = F.concat_ws(",", *fields)
+    line = F.when(kind == 0, F.concat_ws(",", *fields[:4])).when(kind == 1, F.concat(line, F.lit(",extra"))).otherwise(line)
+    # each file starts with the header: the first row of a task brings it
+    first = F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    lines = trending_from_tables(spark, sf_dir, keep=("l_orderkey",)).select(
+        line.alias("line"), F.monotonically_increasing_id().alias("at")
+    )
+    return lines.select(F.explode(F.when(first, F.array(F.lit(HEADER_LINE), F.col("line"))).otherwise(F.array("line"))).alias("value"))
+
+
+def _dirty(mode: str, query):
+    def q(spark, sf_dir):
+        cats = _cats(spark, sf_dir)
+        return _via_files(
+            spark, lambda to: dirty_lines(spark, sf_dir).write.text(to), mode, lambda r: query(spark, r, cats), "yyyy-MM-dd"
+        )
+
+    return q
+
+
+def _rejected_by_reason(spark, records, cats):
+    return rejected_records(records, METRICS, display=True).groupBy("reason").agg(F.count(F.lit(1)).alias("n_records"))
+
+
+def _dated_by_category(spark, records, cats):
+    dated = op.valid_publish_date(valid_records(records), YEAR)
+    return dated.groupBy("category_id").agg(F.count(F.lit(1)).alias("n_records"))
+
+
+DIRTY_QUERIES = {
+    "dirty_rejected_by_reason": _dirty("csv", _rejected_by_reason),
+    "dirty_run_summary": _dirty("csv", lambda spark, r, cats: op.run_summary(r, FOCUS, METRICS)),
+    "dirty_run_summary_lines": _dirty("line", lambda spark, r, cats: op.run_summary(r, FOCUS, METRICS)),
+    "dirty_rollup_videos": _dirty("csv", lambda spark, r, cats: op.rollup_videos(r, cats).select(*VIDEO_COLUMNS)),
+    "dirty_rollup_videos_lines": _dirty("line", lambda spark, r, cats: op.rollup_videos(r, cats).select(*VIDEO_COLUMNS)),
+    "dirty_filter_records": _dirty("csv", lambda spark, r, cats: op.filter_records_by_category(r, SINGLE_CATEGORY)),
+    "dirty_dated_by_category": _dirty("csv", _dated_by_category),
+}
 
 
 QUERIES: dict[str, Query] = {
@@ -227,4 +308,10 @@ QUERIES: dict[str, Query] = {
     "rollup_videos_from_csv": rollup_videos_from_csv,
     "rollup_videos_from_csv_lines": rollup_videos_from_csv_lines,
     "sum_likes_dislikes_from_csv_lines": sum_likes_dislikes_from_csv_lines,
+    "topk_records_by_category_views_many": topk_records_many,
+    "menu_topk_videos_known": menu_topk_known,
+    "topk_counts_with_total": topk_counts,
+    "filtered_record_count": filtered_count,
+    "single_line_titles": single_line_titles,
+    **DIRTY_QUERIES,
 }

@@ -3,7 +3,7 @@
 The original tool asked for a category selection first (``0`` = all) and
 then ran one Spark job per chosen category, collecting rows to the driver
 in between. Here a selection is a list of ids (``None`` = every id of the
-dimension) and each entry is a single plan: one filter for all chosen
+dimension; ids missing from it are refused) and each entry is a single plan: one filter for all chosen
 categories, one grouped top-k or one global top-k.
 """
 
@@ -12,9 +12,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trendstats import operators as op
-from trendstats.schema import VIDEO_COLUMNS
+from trendstats.schema import TRENDING_DATE_FORMAT, VIDEO_COLUMNS
 from trendstats.sinks import write_by_category, write_ranked
 from trendstats.sources import read_categories, read_trending
 
@@ -56,7 +57,7 @@ def menu_query(
     name, metric, per_category, by_year = MENU[choice]
     sel = normalise_selection(ids)
     chosen = op.in_categories(videos, sel, cats)
-    columns = [c for c in VIDEO_COLUMNS if c in videos.columns or c == "category"]
+    columns = [c for c in (*VIDEO_COLUMNS, "trending_date_text") if c in videos.columns or c == "category"]
     if name == "count_videos":
         return op.count_videos_by_category(spark, videos, cats, sel)
     if name == "filter_videos":
@@ -90,18 +91,21 @@ def run_menu(
     k: int | None = None,
     year: int = 2018,
     mode: str = "csv",
+    trending_date_format: str = TRENDING_DATE_FORMAT,
 ) -> DataFrame:
     """Read, roll up, answer one menu entry and (with ``out_dir``) write it:
     per-category entries as ``<out>/<entry>/category_id=<id>/``, overall
     top-k lists as one CSV in ``<out>/top<k><metric>[Of<year>]``."""
     cats = read_categories(spark, categories_path)
-    videos = op.rollup_videos(read_trending(spark, trending_path, mode=mode))
+    videos = op.rollup_videos(read_trending(spark, trending_path, mode=mode, trending_date_format=trending_date_format))
     result = menu_query(spark, choice, videos, cats, ids, k, year)
     if out_dir:
         target = f"{out_dir.rstrip('/')}/{output_name(choice, k, year)}"
         name, _, per_category, _ = MENU[choice]
         if per_category:
-            write_by_category(result, target)
+            known = cats.where(F.col("category_id").isin(selected)) if (selected := normalise_selection(ids)) else cats
+            # the header-only files of empty categories: one a chosen category
+            write_by_category(result, target, chosen=[r["category_id"] for r in known.select("category_id").toLocalIterator()])
         elif per_category is False:
             write_ranked(result, target)
         else:

@@ -18,7 +18,7 @@ FOCUS = _ids(C.FOCUS)
 AS_OF = f"DATE '{C.AS_OF.isoformat()}'"
 
 TRENDING = f"""trending AS (
-  SELECT concat('v', lpad(CAST(l.l_partkey AS VARCHAR), 8, '0')) AS video_id,
+  SELECT concat('v', CAST(l.l_partkey AS VARCHAR)) AS video_id,
          CAST(l.l_shipdate AS DATE) AS trending_date,
          p.p_name AS title,
          s.s_name AS channel_title,
@@ -32,6 +32,26 @@ TRENDING = f"""trending AS (
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
 )"""
 
+def _dirty(csv: bool) -> str:
+    """The records that the dirty lines hold, by the same rule; a quoted
+    quote stays in CSV mode and is deleted in line mode."""
+    say = "'say \"' || title || '\"'" if csv else "'say ' || title"
+    return f"""dirty AS (
+  SELECT 'v' || l.l_partkey AS video_id, CAST(l.l_shipdate AS DATE) AS trending_date,
+         CASE k WHEN 2 THEN title || ', with comma' WHEN 6 THEN NULL WHEN 7 THEN {say} ELSE title END AS title,
+         channel_title, CASE WHEN k <> 8 THEN category_id END AS category_id,
+         CASE WHEN k <> 5 THEN publish_date END AS publish_date,
+         CASE WHEN k <> 3 THEN views END AS views, CASE WHEN k = 4 THEN -5 ELSE likes END AS likes, dislikes,
+         k IN (0, 1) AS malformed, k
+  FROM (SELECT l_orderkey % {C.DIRT} AS k, l_partkey, l_shipdate, p_name AS title, s_name AS channel_title,
+               TRY_CAST(substring(p_brand, 7) AS INTEGER) AS category_id,
+               DATE '1995-01-01' + CAST(l_partkey % 2000 AS INTEGER) AS publish_date,
+               CAST(floor(l_extendedprice) AS BIGINT) AS views, CAST(floor(l_quantity) AS BIGINT) AS likes,
+               CAST(l_linenumber AS BIGINT) AS dislikes
+        FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey) l
+)"""
+
+
 CATS = """cats AS (SELECT CAST(n_nationkey AS INTEGER) AS category_id, n_name AS title FROM nation)"""
 
 VALID = """valid AS (SELECT * FROM trending WHERE video_id IS NOT NULL AND category_id IS NOT NULL)"""
@@ -54,6 +74,12 @@ VIDEOS = f"""videos AS (
   WHERE r.rn = 1
 )"""
 
+def _videos_of(table: str) -> str:
+    return VIDEOS.replace("FROM trending", f"FROM {table} WHERE NOT malformed").replace(
+        "malformed\n    WHERE video_id", "malformed\n    AND video_id"
+    )
+
+
 VIDEO_COLS = "video_id, title, category_id, category, publish_date, trending_date, channel_title, views, likes, dislikes, url"
 
 TAB = "chr(9)"
@@ -219,3 +245,43 @@ FROM trending""",
 ORACLE["rollup_videos_from_csv"] = ORACLE["rollup_videos"]
 ORACLE["rollup_videos_from_csv_lines"] = ORACLE["rollup_videos"]
 ORACLE["sum_likes_dislikes_from_csv_lines"] = ORACLE["sum_likes_dislikes_by_category"]
+
+_DIRTY_SUMMARY = """SELECT count(*) AS n_read, count(*) FILTER (WHERE malformed) AS n_malformed,
+       count(*) FILTER (WHERE ok) AS n_valid, count(*) FILTER (WHERE ok AND focus) AS n_output,
+       count(*) FILTER (WHERE NOT (ok AND focus)) AS n_skipped,
+       count(DISTINCT CASE WHEN ok AND focus THEN category_id END) AS n_groups
+FROM (SELECT *, NOT malformed AND category_id IS NOT NULL AND coalesce(views >= 0 AND likes >= 0 AND dislikes >= 0, false) AS ok,
+             coalesce(category_id IN (""" + FOCUS + """), false) AS focus FROM dirty)"""
+
+ORACLE |= {
+    "topk_records_by_category_views_many": ORACLE["topk_records_by_category_views"].replace(
+        f"rank <= {C.K_PER_CATEGORY}", f"rank <= {C.K_MANY}"
+    ),
+    "menu_topk_videos_known": _topk("views").replace(
+        f"category_id IN ({FOCUS})",
+        f"category_id IN ({_ids(C.CHOSEN_WITH_UNKNOWN)}) AND category_id IN (SELECT category_id FROM cats)",
+    ),
+    "topk_counts_with_total": ORACLE["count_in_range"].replace(
+        _range_where(C.SUMMARY_RANGE), f"category_id IN ({FOCUS}) AND {DISPLAY_READY}"
+    ),
+    "filtered_record_count": _with(TRENDING, VALID)
+    + f"SELECT count(*) AS n_records FROM valid WHERE category_id = {C.SINGLE_CATEGORY} AND {DISPLAY_READY}",
+    "single_line_titles": _with(TRENDING)
+    + "SELECT video_id, title || ' ' || channel_title || ' ' || CAST(views AS VARCHAR) AS line FROM trending",
+    "dirty_rejected_by_reason": _with(_dirty(True))
+    + """SELECT reason, count(*) AS n_records FROM (
+  SELECT CASE WHEN malformed THEN 'malformed' WHEN category_id IS NULL THEN 'category_id' WHEN title IS NULL THEN 'title'
+              WHEN views IS NULL OR views < 0 THEN 'views' WHEN likes IS NULL OR likes < 0 THEN 'likes'
+              WHEN dislikes IS NULL OR dislikes < 0 THEN 'dislikes' WHEN publish_date IS NULL THEN 'publish_date' END AS reason
+  FROM dirty) WHERE reason IS NOT NULL GROUP BY reason""",
+    "dirty_run_summary": _with(_dirty(True)) + _DIRTY_SUMMARY,
+    "dirty_run_summary_lines": _with(_dirty(False)) + _DIRTY_SUMMARY,
+    "dirty_rollup_videos": _with(_dirty(True), CATS, _videos_of("dirty")) + f"SELECT {VIDEO_COLS} FROM videos",
+    "dirty_rollup_videos_lines": _with(_dirty(False), CATS, _videos_of("dirty")) + f"SELECT {VIDEO_COLS} FROM videos",
+    "dirty_filter_records": _with(_dirty(True))
+    + f"""SELECT category_id, {_display_line(False)} AS line FROM dirty
+WHERE NOT malformed AND category_id = {C.SINGLE_CATEGORY} AND {DISPLAY_READY}""",
+    "dirty_dated_by_category": _with(_dirty(True))
+    + f"""SELECT category_id, count(*) AS n_records FROM dirty
+WHERE NOT malformed AND category_id IS NOT NULL AND publish_date >= DATE '{C.YEAR}-01-01' GROUP BY category_id""",
+}

@@ -75,20 +75,6 @@ RECORD_COLUMNS = (
     "dislikes",
 )
 
-RECORD_SCHEMA = T.StructType(
-    [
-        T.StructField("video_id", T.StringType()),
-        T.StructField("trending_date", T.DateType()),
-        T.StructField("title", T.StringType()),
-        T.StructField("channel_title", T.StringType()),
-        T.StructField("category_id", T.IntegerType()),
-        T.StructField("publish_date", T.DateType()),
-        T.StructField("views", T.LongType()),
-        T.StructField("likes", T.LongType()),
-        T.StructField("dislikes", T.LongType()),
-    ]
-)
-
 # One row per video after the rollup (the CSV sink joins category_id and
 # category into one ``id:title`` field).
 VIDEO_COLUMNS = (
@@ -105,8 +91,6 @@ VIDEO_COLUMNS = (
     "url",
 )
 
-CATEGORY_COLUMNS = ("category_id", "title", "assignable")
-
 
 def raw_schema(corrupt_column: str | None = "_corrupt") -> T.StructType:
     """All 16 CSV fields as strings (numbers are cast later, so that a bad

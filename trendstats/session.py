@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every job wants; a cluster's own spark-defaults win where set.
+# Settings every job wants; what the cluster or the caller sets wins.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.ui.enabled": "false",
 }
 
 
@@ -23,17 +23,19 @@ def get_session(
     shuffle_partitions: int | None = None,
     extra_conf: dict | None = None,
 ) -> SparkSession:
-    builder = SparkSession.builder.appName(app_name)
+    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    conf = dict(extra_conf or {})
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
+    set_before = spark.sparkContext.getConf()
+    for key, value in DEFAULT_CONF.items():
+        if key not in conf and not set_before.contains(key):
+            spark.conf.set(key, value)
     return spark
 
 
@@ -63,3 +65,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="trendstats-ckpt-", dir=os.environ.get("TMPDIR"))
     sc.setCheckpointDir(folder)
     return folder
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target, fs = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``scratch`` named."""
+    target, fs = _file_system(spark, path)
+    fs.delete(target, True)

@@ -8,56 +8,67 @@ categories with the same title never overwrite each other and titles with
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from trendstats.functions.columns import category_label, ranked_line, single_line
+from trendstats.schema import VIDEO_CSV_HEADER
+from trendstats.session import exists
 
 
 def video_csv_frame(videos: DataFrame) -> DataFrame:
     """The nine CSV output fields of a video row (``category_id:category``
-    joined as one label), keeping ``category_id`` for partitioning."""
-    cols = [
-        F.col("title"),
-        category_label("category_id", "category").alias("category_id:category"),
-        F.col("publish_date").cast("string").alias("publish_date"),
-        F.col("trending_date").cast("string").alias("trending_date"),
-        F.col("channel_title"),
-        F.col("views"),
-        F.col("likes"),
-        F.col("dislikes"),
-        F.col("url").alias("URL"),
-        F.col("category_id"),
-    ]
-    if "rank" in videos.columns:
-        cols.append(F.col("rank"))
-    return videos.select(*cols)
-
-
-def write_by_category(videos: DataFrame, path: str, mode: str = "overwrite") -> None:
+    joined as one label, the trending date as the source wrote it), keeping
+    ``category_id`` for partitioning and ``video_id`` for the order."""
+    day = F.col("trending_date").cast("string")
+    if "trending_date_text" in videos.columns:
+        day = F.coalesce("trending_date_text", day)
+    values = {
+        "category_id:category": category_label("category_id", "category"),
+        "publish_date": F.col("publish_date").cast("string"),
+        "trending_date": day,
+        "URL": F.col("url"),
+    }
+    cols = [values.get(c, F.col(c)).alias(c) for c in VIDEO_CSV_HEADER]
+    return videos.select(*cols, "category_id", "video_id", *[c for c in ("rank",) if c in videos.columns])
+
+
+def write_by_category(
+    videos: DataFrame, path: str, mode: str = "overwrite", chosen: Sequence[int] | None = None
+) -> None:
     """One CSV directory per category id (``category_id=<id>/``), header
-    line included, rows in rank order when there is a rank, else by views."""
+    line included, rows in rank order when there is a rank, else by views.
+    A ``chosen`` category without rows gets a file with the header only."""
     frame = video_csv_frame(videos)
-    order = ["category_id", "rank"] if "rank" in frame.columns else ["category_id", F.desc("views")]
+    order = ["category_id", "rank"] if "rank" in frame.columns else ["category_id", F.desc("views"), "video_id"]
     # No explicit count: AQE sizes the range partitions (small results end
     # up in one file per category, large ones are split).
     (
         frame.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .drop("rank")
+        .drop("rank", "video_id")
         .write.partitionBy("category_id")
         .option("header", True)
         .option("escape", '"')
         .mode(mode)
         .csv(path)
     )
+    spark = videos.sparkSession
+    fields = [f for f in frame.schema.fields if f.name in VIDEO_CSV_HEADER]
+    for i in chosen or ():
+        folder = f"{path.rstrip('/')}/category_id={int(i)}"
+        if not exists(spark, folder):
+            spark.createDataFrame([], StructType(fields)).coalesce(1).write.option("header", True).csv(folder)
 
 
 def write_ranked(df: DataFrame, path: str, mode: str = "overwrite", rank_col: str = "rank") -> None:
-    """A top-k result (at most k rows by construction) as one CSV file with
-    a header, in rank order."""
+    """A top-k result as one CSV file with a header, in rank order. One task
+    writes it: meant for k up to a few million rows."""
     frame = video_csv_frame(df) if "url" in df.columns else df
-    frame = frame.drop("category_id") if "category_id:category" in frame.columns else frame
+    frame = frame.drop("category_id", "video_id") if "category_id:category" in frame.columns else frame
     out = frame.orderBy(rank_col).coalesce(1).drop(rank_col)
     out.write.option("header", True).option("escape", '"').mode(mode).csv(path)
 
@@ -108,10 +119,10 @@ def write_clean_table(records: DataFrame, path: str, mode: str = "overwrite") ->
     Parse and validate the CSV once; later queries read the typed columns
     they need (column pruning), push ``category_id IN (...)`` and date
     predicates into the scan, and skip whole category directories
-    (partition pruning). Rows stay spread over the tasks that read them: no
-    shuffle here, so a hot category is written by many tasks in parallel.
+    (partition pruning). The rows are rebalanced by category: AQE merges
+    small categories into few files and splits a hot one over many tasks.
     """
-    records.write.partitionBy("category_id").mode(mode).parquet(path)
+    records.hint("rebalance", "category_id").write.partitionBy("category_id").mode(mode).parquet(path)
 
 
 def snapshot_csv_frame(records: DataFrame, trending_date_format: str = "yyyy-MM-dd") -> DataFrame:

@@ -25,23 +25,8 @@ from trendstats.sources.categories import categories_from_table
 PUBLISH_EPOCH = dt.date(1995, 1, 1)
 
 
-# path -> (files, schema) of tables already read in this process
-_SCHEMAS: dict[str, tuple[tuple[str, ...], T.StructType]] = {}
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one input table. Its schema is inferred (a footer read) the
-    first time only; later reads pass it to the reader as long as the
-    folder lists the same files, and infer it again otherwise."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    known = _SCHEMAS.get(path)
-    if known is not None:
-        df = spark.read.schema(known[1]).parquet(path)
-        if tuple(sorted(df.inputFiles())) == known[0]:
-            return df
-    df = spark.read.parquet(path)
-    _SCHEMAS[path] = (tuple(sorted(df.inputFiles())), df.schema)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def calendar_date(df: DataFrame, name: str) -> Column:
@@ -55,9 +40,10 @@ def calendar_date(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("date")
 
 
-def trending_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trending_from_tables(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The record view; ``keep`` names line item columns to carry along."""
     lineitem = _table(spark, sf_dir, "lineitem").select(
-        "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_linenumber"
+        "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_linenumber", *keep
     )
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
@@ -65,15 +51,16 @@ def trending_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         supplier, lineitem.l_suppkey == supplier.s_suppkey
     )
     return joined.select(
-        F.concat(F.lit("v"), F.lpad(F.col("l_partkey").cast("string"), 8, "0")).alias("video_id"),
+        F.concat(F.lit("v"), F.col("l_partkey").cast("string")).alias("video_id"),
         calendar_date(lineitem, "l_shipdate").alias("trending_date"),
         F.col("p_name").alias("title"),
         F.col("s_name").alias("channel_title"),
-        F.substring(F.col("p_brand"), 7, 1 << 20).cast("int").alias("category_id"),
+        F.substr(F.col("p_brand"), F.lit(7)).try_cast("int").alias("category_id"),
         F.date_add(F.lit(PUBLISH_EPOCH), (F.col("l_partkey") % 2000).cast("int")).alias("publish_date"),
         F.floor(F.col("l_extendedprice")).cast("bigint").alias("views"),
         F.floor(F.col("l_quantity")).cast("bigint").alias("likes"),
         F.col("l_linenumber").cast("bigint").alias("dislikes"),
+        *keep,
     )
 
 

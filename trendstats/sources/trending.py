@@ -152,13 +152,13 @@ def read_trending(
     return typed_records(raw, trending_date_format)
 
 
-def validity(
+def usable(
     df: DataFrame,
     metrics: tuple[str, ...] | list[str] = (),
     need_date: bool = False,
     display: bool = False,
 ) -> Column:
-    """Boolean (never null) column: is the row usable for this query?
+    """Boolean column (null counts as no): is the row usable for this query?
 
     Always: right width, a video id, a numeric category. Then every metric
     asked for is a non-negative integer, the publish date parses when
@@ -176,11 +176,18 @@ def validity(
         cond = cond & F.col(m).isNotNull() & (F.col(m) >= 0)
     if need_date:
         cond = cond & F.col("publish_date").isNotNull()
-    return F.coalesce(cond, F.lit(False))
+    return cond
+
+
+def validity(df: DataFrame, metrics=(), need_date: bool = False, display: bool = False) -> Column:
+    """``usable`` as true or false, never null."""
+    return F.coalesce(usable(df, metrics, need_date, display), F.lit(False))
 
 
 def valid_records(df: DataFrame, metrics=(), need_date: bool = False, display: bool = False) -> DataFrame:
-    return df.where(validity(df, metrics, need_date, display))
+    """The usable rows. The tests stay a plain conjunction (``where`` drops
+    null), which the planner splits and pushes down to the scan."""
+    return df.where(usable(df, metrics, need_date, display))
 
 
 def rejected_records(df: DataFrame, metrics=(), need_date: bool = False, display: bool = False) -> DataFrame:
