@@ -35,6 +35,6 @@ def test_fixed_cases(spark):
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.text(alphabet='ab,"', max_size=24), min_size=1, max_size=200))
+@given(st.lists(st.text(alphabet='abm,"e\x00', max_size=24), min_size=1, max_size=200))
 def test_random_lines(spark, lines):
     compare(spark, lines)

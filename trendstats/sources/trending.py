@@ -24,7 +24,6 @@ from trendstats.functions.columns import nonnegative_bigint, publish_date_of
 from trendstats.schema import (
     HEADER_LINE,
     METRICS,
-    QUOTE_AWARE_COMMA,
     RAW_COLUMNS,
     TRENDING_DATE_FORMAT,
     raw_schema,
@@ -65,24 +64,24 @@ def java_token_count(tokens: Column) -> Column:
     )
 
 
-# A character that marks splitting commas; a line that already holds it
-# takes the look-ahead regex split instead (same result, slower).
-_MARK = "\u0000"
+# What splitting commas become, and what a line's own NUL becomes before
+# that, so that no line holds the mark.
+_MARK, _NUL, _ESCAPED = "\u0000m", "\u0000", "\u0000e"
 
 
 def quote_aware_split(line: str | Column) -> Column:
     """Split a line on every comma followed by an even number of quotes up
     to the end of the line, keeping empty fields (quotes are not removed).
 
-    Same result as splitting on ``QUOTE_AWARE_COMMA`` with limit -1, in time
-    linear in the line length. Cut at quotes, the k-th piece holds the
+    Same result as splitting on the pattern ``QUOTE_AWARE_COMMA`` with limit
+    -1, in time linear in the line length. Cut at quotes, the k-th piece holds the
     commas that have exactly k quotes before them; such a comma splits when
     k has the parity of the line's quote count. Those pieces get their
     commas replaced by a mark, the pieces are joined back, and the line is
     split once at the marks.
     """
     line = F.col(line) if isinstance(line, str) else line
-    pieces = F.split(line, '"', -1)
+    pieces = F.split(F.replace(line, F.lit(_NUL), F.lit(_ESCAPED)), '"', -1)
     parity = (F.size(pieces) - 1) % 2
     marked = F.array_join(
         F.transform(
@@ -91,9 +90,9 @@ def quote_aware_split(line: str | Column) -> Column:
         ),
         '"',
     )
-    return F.when(
-        F.instr(line, _MARK) > 0, F.split(line, QUOTE_AWARE_COMMA, -1)
-    ).otherwise(F.split(marked, _MARK, -1))
+    fields = F.split(marked, _MARK, -1)
+    plain = F.transform(fields, lambda f: F.replace(f, F.lit(_ESCAPED), F.lit(_NUL)))
+    return F.when(F.instr(line, _NUL) > 0, plain).otherwise(fields)
 
 
 def read_raw_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
