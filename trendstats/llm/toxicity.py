@@ -154,10 +154,11 @@ def _copy_key(text: Column) -> Column:
     return key(text)
 
 
-def _counted(texts: DataFrame, wanted: list[str] | None) -> DataFrame:
-    """``(pattern, n)``: texts of the single column that hold the pattern;
-    partial counts leave each task before the shuffle."""
-    shared = texts.sparkSession.sparkContext.broadcast(wanted) if wanted is not None else None
+def _counted(texts: DataFrame, wanted: set[str] | None) -> DataFrame:
+    """``(pattern, n)``: texts of the single column that hold the pattern
+    (one of ``wanted``, if given); partial counts leave each task before the
+    shuffle."""
+    shared = texts.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -171,11 +172,7 @@ def _counted(texts: DataFrame, wanted: list[str] | None) -> DataFrame:
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                if shared is None:
-                    counts.update(patterns_of(text))
-                else:
-                    finder = _finder(shared.value)
-                    counts.update([shared.value[i] for i in finder.find(text)[0]])
+                counts.update(patterns_of(text) if shared.value is None else patterns_of(text) & shared.value)
                 if len(counts) > _FLUSH:
                     yield out()
         yield out()
@@ -201,7 +198,7 @@ def mine(labelled: DataFrame, features: int = FEATURES) -> Voters:
     least = max(2, math.ceil(SUPPORT * n1))
     # a pattern needs `least` texts, so their number is bounded by the share
     ones = {r["pattern"]: r["n"] for r in _counted(toxic, None).where(F.col("n") >= least).toLocalIterator()}
-    zeros = {r["pattern"]: r["n"] for r in _counted(clean, sorted(ones)).toLocalIterator()}
+    zeros = {r["pattern"]: r["n"] for r in _counted(clean, set(ones)).toLocalIterator()}
     rated, rate, needed = [], n1 / (n1 + n0), math.log(max(1, len(ones)) / CHANCE)
     for p, n in ones.items():
         z = zeros.get(p, 0)
