@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,14 +37,3 @@ def partitions_for(rows: int, per_partition: int, least: int = 1) -> int:
 def ascii_lower(col):
     """Lower-case A-Z and nothing else."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder that ``scratch`` named."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
