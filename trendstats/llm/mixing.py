@@ -107,7 +107,7 @@ def mix(
     share: float = 1.5,
     most: float = 2.0,
     seed: str = "mix",
-    bucket_rows: int = 10_000,
+    bucket_rows: int = 2_000,
 ) -> DataFrame:
     """One row per document: ``doc_id``, ``source``, ``size``,
     ``source_size``, ``target`` (of its source) and ``taken`` (words,
@@ -127,10 +127,9 @@ def mix(
     plan = cut(targets(per_source.select("source", "source_size"), weights, share, most))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     plan = plan.select("*", epochs.cast("long").alias("epochs"))
-    plan = plan.select(
-        F.struct("source").alias("s"), "source_size", "target", "epochs",
-        (F.floor(F.col("target")).cast("long") - F.col("epochs") * F.col("source_size")).alias("rest"),
-    )
+    rest = F.floor(F.col("target")).cast("long") - F.col("epochs") * F.col("source_size")
+    # structs join and group null sources like any other
+    plan = plan.select(F.struct("source").alias("s"), "source_size", "target", "epochs", rest.alias("rest"))
 
     # keys in key order: 1 - exp(-key) grows with the key and stays in (0, 1)
     buckets = partitions_for(slim.count(), bucket_rows)
@@ -139,19 +138,18 @@ def mix(
     sums = rows.groupBy("s", "bucket").agg(F.sum("size").alias("in_bucket"))
     before = Window.partitionBy("s").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("s", "bucket", "in_bucket", F.coalesce(F.sum("in_bucket").over(before), F.lit(0)).alias("before"))
-    # the bucket that holds the end of the budget
-    ends = sums.join(plan, "s").where(
-        (F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("in_bucket"))
-    ).select("s", F.col("bucket").alias("end"), F.col("before").alias("before_end"))
-    # structs join and group null sources like any other
-    joined = rows.join(plan.join(ends, "s", "left"), "s")
+    # what each bucket of a source gets: documents meet it by (source,
+    # bucket), so a source of any size is spread over its buckets
+    marks = sums.join(plan, "s").withColumn(
+        "ends", (F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("in_bucket"))
+    )
+    joined = rows.join(marks, ["s", "bucket"])
     own = Window.partitionBy("s", "bucket").orderBy("key", F.asc_nulls_last("doc_id"), "size")
-    split = joined.where(F.col("bucket") == F.col("end"))
-    split = split.withColumn("sum_to", F.sum("size").over(own.rowsBetween(Window.unboundedPreceding, 0)) + F.col("before_end"))
+    split = joined.where("ends")
+    split = split.withColumn("sum_to", F.sum("size").over(own.rowsBetween(Window.unboundedPreceding, 0)) + F.col("before"))
     in_part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("sum_to") + F.col("size")))
-    whole = joined.where(F.col("end").isNull() | (F.col("bucket") != F.col("end")))
-    # without an end bucket the rest is 0 words or the whole source
-    in_whole = F.when(F.col("bucket") < F.col("end"), F.col("size")).otherwise(0)
+    whole = joined.where("not ends")
+    in_whole = F.when(F.col("before") < F.col("rest"), F.col("size")).otherwise(0)
 
     def out(df: DataFrame, extra: Column) -> DataFrame:
         return df.select(
