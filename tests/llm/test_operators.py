@@ -231,6 +231,20 @@ def test_toxicity_without_labels(spark):
     assert toxicity.without_toxic(docs, labels).count() == docs.count()
 
 
+def test_toxicity_collapses_copies_only(spark):
+    """Texts that share words are counted one by one; exact and near copies
+    of a text once."""
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=7)) for _ in range(3000)]
+    texts = ["scum " + " ".join(rng.choices(vocabulary, k=60)) for _ in range(40)]
+    copied = rng.choices(vocabulary, k=2000)
+    texts += [" ".join(copied)] * 5 + [" ".join([*copied[:-1], w]) for w in vocabulary[:10]]
+    rows = [(i, t, 1) for i, t in enumerate(texts)] + [(1000 + i, " ".join(rng.choices(vocabulary, k=60)), 0) for i in range(200)]
+    mined = toxicity.mine(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    assert (mined.n_toxic, mined.n_clean) == (41, 200)
+    assert any(p.startswith("scum") for p in mined.patterns)
+
+
 def test_spotsigs_order_by_ranges(spark):
     """Many id ranges give the same neighbours as one."""
     docs = read_table(spark, SF_SMALL, "documents")

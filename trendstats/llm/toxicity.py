@@ -3,7 +3,7 @@
 1. Voters. Words (``word``), word beginnings (``begi-``) and beginnings of
    at least every 200th word (``begi=``) that are much more frequent in toxic
    than in clean labelled training texts (a bounded sample of labelled rows;
-   near copies of a toxic text count once).
+   near copies of a toxic text, those of one SimHash class, count once).
 2. Label model. Each voter votes "toxic" where its pattern occurs and
    abstains elsewhere. A generative model over the votes of all training
    rows, labelled or not, estimates every voter's accuracy by expectation
@@ -43,7 +43,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trendstats.llm import simhash
 from trendstats.llm.common import cut, spare
+from trendstats.llm.graph import connected_components
 
 LABEL_ROWS = 50_000  # labelled rows that voters are mined from, at most
 FIT_ROWS = 20_000  # rows that the classifier is fitted on, at most
@@ -139,19 +141,14 @@ def held_out(doc_id: Column) -> Column:
 # --- voters ------------------------------------------------------------------
 
 
-def _copy_key(text: Column) -> Column:
-    """Smallest word hash: near copies of a text mostly share it."""
-
-    @F.pandas_udf("long")
-    def key(texts: pd.Series) -> pd.Series:
-        out = []
-        for t in texts:
-            words = set(_words(t))
-            digests = (hashlib.blake2b(w.encode("utf-8", "replace"), digest_size=7).digest() for w in words)
-            out.append(int.from_bytes(min(digests, default=b""), "big"))
-        return pd.Series(out, dtype="int64")
-
-    return key(text)
+def _one_of_each(toxic: DataFrame) -> DataFrame:
+    """``text`` of one row of each class of near copies (SimHash, as in the
+    near-duplicate operator) of ``(doc_id, text)`` rows."""
+    marked = cut(toxic.select("doc_id", "text", simhash.fingerprint(F.col("text")).alias("fp")))
+    classes = connected_components(simhash.links(marked.select("fp").distinct())).withColumnRenamed("node", "fp")
+    found = marked.join(classes, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    found = found.groupBy("component").agg(F.min_by("text", F.struct("doc_id", F.xxhash64("text"))).alias("text"))
+    return cut(found.select("text"))
 
 
 def _counted(texts: DataFrame, wanted: set[str] | None) -> DataFrame:
@@ -189,8 +186,7 @@ class Voters:
 
 def mine(labelled: DataFrame, features: int = FEATURES) -> Voters:
     """Patterns of ``(doc_id, text, toxic)`` rows, best first."""
-    toxic = labelled.where("toxic = 1").select("doc_id", "text", _copy_key(F.col("text")).alias("key"))
-    toxic = cut(toxic.groupBy("key").agg(F.min_by("text", F.struct("doc_id", F.xxhash64("text"))).alias("text")).select("text"))
+    toxic = _one_of_each(labelled.where("toxic = 1"))
     clean = labelled.where("toxic = 0").select("text")
     n1, n0 = toxic.count(), clean.count()
     if not n1 or not n0:
