@@ -181,6 +181,29 @@ def test_pii_trees_add_spans(spark):
         assert bool(found[i]["spans"]) == (i % 3 == 0)
 
 
+def test_pii_adds_forms_beyond_the_base(spark):
+    """Addresses and phone numbers in forms that no base pattern takes are
+    added, once the corpus holds the kinds in their base form."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(1500):
+        a, b, c = (rng.randint(200, 999) for _ in range(3))
+        who = rng.choice(("jane", "john.doe", "info", "k.lee")) + str(a)
+        rows.append((i, (
+            f"mail {who}@host{b}.example.com today", f"call +1 ({a}) {b}-{1000 + c} today",
+            f"in {1900 + i % 99} they met at noon and had {a}{b} of {c} left", f"page {a} of {b}, look at it in {1900 + i % 99}",
+        )[i % 4]))
+    planted = {
+        9001: ("mail ", "jane (at) example (dot) com"), 9002: ("call ", "(456) 555-2186"), 9003: ("mail ", "jane at example.com"),
+        9004: ("mail ", "jane [at] example.com"),
+    }
+    docs = spark.createDataFrame(rows + [(i, a + b + " now") for i, (a, b) in planted.items()], "doc_id long, text string")
+    found = {r["doc_id"]: r["l"] for r in pii.find(docs, "s", pii.fit(docs)).select("doc_id", pii.listed(F.col("s.spans")).alias("l")).collect()}
+    for i, (a, b) in planted.items():
+        assert found[i] == f"{'phone' if i == 9002 else 'email'}:{len(a)}:{len(a + b)}"
+    assert all(not found[i] for i, _ in rows if i % 4 > 1)
+
+
 def test_secret_novelty(spark):
     token = "Zk3vQ9xT7LmP2sWc8RbN4yHd"
     texts = [
