@@ -219,6 +219,20 @@ def test_secret_novelty(spark):
     assert brute.secrets(texts[3])[1] == got[3]
 
 
+def test_secret_in_copies(spark):
+    """Neither copies nor near copies of a page make its secret a word of the
+    dictionary; the secret of each is found."""
+    tokens = ["Zk3vQ9xT7LmP2sWc8RbN4yHd", "Hy7dRw2qKp5nVx8cMt3gLs6b"]
+    rows = [f"the api key for the service is {tokens[0]} as agreed"] * 50
+    rows += [f"the api key for the house {i} is {tokens[1]} as agreed" for i in range(50)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    words = secrets.identifiers(docs)
+    assert "agreed" in words and not set(tokens) & set(words)
+    assert "house" in words and "service" not in words  # service is in one text only
+    got = {r["doc_id"]: r["l"] for r in secrets.find(docs, "s").select("doc_id", secrets.listed(F.col("s.spans")).alias("l")).collect()}
+    assert all(got[i] == f"novel:{t.index(tokens[i // 50])}:{t.index(tokens[i // 50]) + 24}" for i, t in enumerate(rows))
+
+
 def test_redirects_spread_blocks(spark):
     rules = urls.rules_table(spark, [("bad.com", "/", "block"), ("good.com", "/", "allow"), ("bad.com", "/", "block")])
     link = "<link rel='canonical' href='{}'>".format
