@@ -219,6 +219,26 @@ def test_secret_novelty(spark):
     assert brute.secrets(texts[3])[1] == got[3]
 
 
+def test_secret_recall(spark):
+    """Short random tokens of each alphabet are found at random places."""
+    docs = read_table(spark, SF_ORACLE, "documents")
+    texts, rng = [r["text"] for r in docs.orderBy("doc_id").collect() if r["text"]], random.Random(23)
+    rows = []
+    for letters in ("0123456789abcdefghijklmnopqrstuvwxyz", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/"):
+        for n in (16, 24):
+            for _ in range(400):
+                text, token = rng.choice(texts), "1" + "".join(rng.choices(letters, k=n - 1))
+                at = rng.randint(0, len(text))
+                rows.append((len(rows), f"{text[:at]} bearer {token} {text[at:]}", f":{at + 8}:{at + 8 + n}"))
+    planted = spark.createDataFrame(rows, "doc_id long, text string, want string")
+    words = secrets.identifiers(docs)
+    got = secrets.find(planted, "s", words=words).select("doc_id", "want", secrets.listed(F.col("s.spans")).alias("l")).collect()
+    hits = [0] * 4
+    for r in got:
+        hits[r["doc_id"] // 400] += any(x.endswith(r["want"]) for x in r["l"].split(","))
+    assert all(h >= 0.93 * 400 for h in hits), hits
+
+
 def test_secret_in_copies(spark):
     """Neither copies nor near copies of a page make its secret a word of the
     dictionary; the secret of each is found."""
