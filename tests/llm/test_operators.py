@@ -317,3 +317,30 @@ def test_spotsigs_likeness(spark):
     full = [r[0] for r in df.select(spotsigs.likeness(F.col("a"), F.col("b"))).collect()]
     assert full == [0.5, 1.0, 0.0, 0.1]
     assert [r[0] for r in df.select(spotsigs.likeness(F.col("a"), F.col("b"), 0.8)).collect()] == [0.5, 1.0, 0.0, 0.0]
+
+
+def test_spotsigs_classes(spark):
+    """Alike documents far apart in id order share a class: the classes are
+    those of all pairs, hot signatures or none."""
+    rng = random.Random(12)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(400)]
+    rows = []
+    for g in range(25):
+        base = [w for _ in range(rng.randint(3, 60)) for w in ("the", *rng.choices(words, k=3))]
+        for _ in range(rng.randint(1, 8)):
+            text = list(base)
+            for _ in range(rng.randint(0, 4)):
+                text[rng.randrange(len(text))] = rng.choice(words)
+            rows.append(" ".join(text[: len(text) - rng.randint(0, 9)] + ["the common tail here"] * (g % 2)))
+    rng.shuffle(rows)
+    rows += ["", None, rows[0]]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    sigs = {r["doc_id"]: set(r["s"]) for r in spotsigs.with_signatures(docs, "s", F.col("text")).collect()}
+    want = {i: i for i in sigs}
+    alike = [(i, j) for i in sigs for j in range(i) if sigs[i] == sigs[j] or len(sigs[i] & sigs[j]) >= 0.8 * len(sigs[i] | sigs[j])]
+    for _ in sigs:
+        for i, j in alike:
+            want[i] = want[j] = min(want[i], want[j])
+    assert 25 < len(set(want.values())) < len(want) - 20
+    for hot in (0, 5, 1000):
+        assert {r["doc_id"]: r["class_id"] for r in spotsigs.classes(docs, hot=hot).collect()} == want

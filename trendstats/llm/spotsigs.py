@@ -2,9 +2,18 @@
 
 A signature is an anchor (a very common word) and the chain of the next
 ``CHAIN`` content words after it; a document's fingerprint is the set of its
-signatures (64-bit hashes, sorted). Sets are compared by Jaccard likeness,
-pruned by set length: sets whose length ratio is below the wanted likeness
-are never intersected.
+signatures (64-bit hashes, sorted). Sets are compared by Jaccard likeness.
+
+``classes`` finds alike documents anywhere in a table. Sets are partitioned
+by length into ranges so wide that alike sets lie in one or in neighbouring
+ranges. Any two alike sets share one of their rarest signatures (as many as
+may be missing, and one), so only sets that share one of those meet, in a
+bucket of signature and range; those of unlike lengths are pruned, the others
+verified. The classes are the connected components of what is left.
+In a bucket every set is first held against the bucket's smallest; after
+that only sets of different classes are compared, so a large group of near
+copies costs a comparison each. The registered query compares a document
+with its edited self and its neighbour in full and has no class column.
 
 Main path: SQL functions only, a few array passes over each text, linear in
 its length. ``with_next`` pairs each document with the one that follows in
@@ -22,10 +31,13 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendstats.llm.common import spare
+from trendstats.llm.common import cut, spare
+from trendstats.llm.graph import connected_components
 
 CHAIN = 3
 RANGE_ROWS = 5_000  # documents in an id range, about
@@ -83,6 +95,61 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
     )
 
 
+def _met(rows: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs ``(a, b)`` of ``rows`` that are verified to be alike."""
+    rows = rows.distinct()
+    a = sets.select(F.col("set").alias("a"), F.col("sigs").alias("x"))
+    b = sets.select(F.col("set").alias("b"), F.col("sigs").alias("y"))
+    near = likeness(F.col("x"), F.col("y"), least)
+    return rows.join(a, "a").join(b, "b").where(near >= least).select("a", "b")
+
+
+def classes(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8, hot: int = 1000, sample: int = 20_000
+) -> DataFrame:
+    """``(doc_id, class_id)`` for each row: the smallest id of its class of
+    documents that are alike ``least`` or more, directly or by others.
+
+    The ``hot`` most frequent signatures of about ``sample`` sets are ranked
+    as least rare; the ranking changes the work, never the result.
+    """
+    slim = with_signatures(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t")), "sigs", F.col("t"))
+    slim = cut(slim.select("doc_id", "sigs"))
+    sets = slim.groupBy("sigs").agg(F.min("doc_id").alias("first_id"))
+    sets = cut(sets.withColumn("set", F.monotonically_increasing_id()))
+    some = max(1, sets.count() // sample)
+    seen = sets.where(F.pmod(F.xxhash64("set"), F.lit(some)) == 0).select(F.explode("sigs").alias("s"))
+    often = seen.groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 1").orderBy(F.desc("n"), "s").limit(hot).collect()
+    last = F.array(*[F.lit(r["s"]) for r in reversed(often)]).cast("array<bigint>")
+    size = F.size("sigs")
+    rare = F.concat(F.array_except("sigs", last), F.array_intersect(last, F.col("sigs")))
+    # alike sets share least * size signatures of either
+    rare = F.slice(rare, F.lit(1), size - F.ceil(size * F.lit(least) - F.lit(1e-9)).cast("int") + 1)
+    band = F.floor(F.log(size.cast("double")) / F.lit(-math.log(least)) + F.lit(1e-9)).cast("int")
+    held = sets.where(size > 0).select("set", size.alias("n"), band.alias("band"), F.explode(rare).alias("s"))
+    # a set meets its own range and the next
+    dealt = held.select("set", "n", "s", F.explode(F.array("band", F.col("band") + 1)).alias("r"), "band")
+    sizes = dealt.groupBy("s", "r").agg(F.count(F.lit(1)).alias("m"), F.min("set").alias("pivot")).where("m > 1")
+    dealt = cut(dealt.join(sizes, ["s", "r"]).select("s", "r", "set", "n", "band", "pivot"))
+    first = dealt.where("set != pivot").select(F.col("pivot").alias("a"), F.col("set").alias("b"))
+    links = cut(_met(first, sets, least))
+    known = connected_components(links).withColumnRenamed("node", "set")
+    marked = dealt.join(known, "set", "left").withColumn("c", F.coalesce("component", "set"))
+    # the largest class of a bucket is never compared with itself
+    tops = marked.groupBy("s", "r", "c").agg(F.count(F.lit(1)).alias("m"))
+    tops = tops.groupBy("s", "r").agg(F.max_by("c", F.struct("m", "c")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    marked = cut(marked.join(tops, ["s", "r"]).select("s", "r", "set", "n", "band", "c", "top"))
+    a = marked.where("c != top").select("s", "r", *[F.col(x).alias(x + "_a") for x in ("set", "n", "band", "c")])
+    ratio = F.least("n", "n_a") >= F.greatest("n", "n_a") * F.lit(least) - F.lit(1e-9)
+    pairs = a.join(marked, ["s", "r"]).where(ratio & (F.col("c") != F.col("c_a")))
+    pairs = pairs.select(F.least("set", "set_a").alias("a"), F.greatest("set", "set_a").alias("b"))
+    links = links.union(_met(pairs, sets, least))
+    comps = connected_components(links).withColumnRenamed("node", "set")
+    named = sets.join(comps, "set", "left").select("sigs", "first_id", F.coalesce("component", "set").alias("c"))
+    ids = named.groupBy("c").agg(F.min("first_id").alias("class_id"))
+    return slim.join(named.join(ids, "c").select("sigs", "class_id"), "sigs").select("doc_id", "class_id")
+
+
 def text_of(signatures: Column) -> Column:
     """The fingerprint as text: 16 hex digits a signature."""
     return F.lower(F.array_join(F.transform(signatures, lambda s: F.lpad(F.hex(s), 16, "0")), ""))
