@@ -170,3 +170,39 @@ def backoff_scores(texts, min_count=2):
                 score += math.log(0.4 * uni[p[1]] / total)
         out.append((len(ws), seen, score))
     return out
+
+
+def repeats(texts, least=200):
+    """Per text: bytes, bytes that go, runs that go, hash of the rest."""
+    data = [(t or "").encode() for t in texts]
+    starts = Counter(d[i : i + least] for d in data for i in range(len(d) - least + 1))
+    out = []
+    for d in data:
+        gone = bytearray(len(d))
+        for i in range(len(d) - least + 1):
+            if starts[d[i : i + least]] > 1:
+                gone[i : i + least] = b"\x01" * least
+        runs = len(re.findall(rb"\x01+", bytes(gone)))
+        kept = bytes(c for c, g in zip(d, gone) if not g)
+        out.append((len(d), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def hard_negatives(rows, k=5):
+    """Rows are (id, label, vector); labels as the query changes them."""
+    usable = []
+    for i, label, vec in rows:
+        if label is None or vec is None or any(x is None or not math.isfinite(x) for x in vec):
+            continue
+        usable.append((i, (label + 1) % 10 if i is not None and i % 7 == 0 else label, [math.floor(256 * x) for x in vec]))
+    out = []
+    last = lambda i: (i is None, i or 0)
+    for i, label, vec in usable:
+        if i is None or i % 100:
+            continue
+        scored = [(sum(x * y for x, y in zip(vec, v)), j, other) for j, other, v in usable if j != i]
+        scored.sort(key=lambda s: (-s[0], last(s[1])))
+        for p, j, _ in [s for s in scored if s[2] == label][:k]:
+            found = [s for s in scored if s[2] != label and 80 * p <= 100 * s[0] <= 100 * p][:k]
+            out += [(i, j, at + 1, n, p, score) for at, (score, n, _) in enumerate(found)]
+    return out

@@ -7,6 +7,7 @@ import pytest
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, found int, `n_words` string"
 BENCHMARK = "item_id long, text string, doc_id int"
 LABELS = "doc_id long, quality int, toxic int, text string"
+EMBEDDINGS = "vec_id long, embedding array<float>, label int, doc_id long, id string, part string"
 PAGES = "page_id long, url string, html string, host int, verdict string"
 
 PASSAGE = "one two three four five six seven eight nine ten eleven twelve"
@@ -55,6 +56,11 @@ EDGE_PAGES = [
     (8, "ftp://x.org?y", None, 1, "v"),
     (9, "https://e.net/free", "<link rel=canonical href='https://ok.org/'>", 1, "v"),
 ]
+EDGE_EMBEDDINGS = [
+    (0, [0.5, 0.25], 1, 1, "x", "y"), (1, [0.5, 0.25], 1, 1, "x", "y"), (2, [0.25, 0.5], 2, 1, "x", "y"), (2, [0.25, 0.5], 2, 1, "x", "y"),
+    (3, None, 1, 1, "x", "y"), (4, [None, 1.0], 1, 1, "x", "y"), (5, [float("nan"), 1.0], 1, 1, "x", "y"), (None, [0.5, 0.5], 2, 1, "x", "y"),
+    (100, [0.4, 0.4], None, 1, "x", "y"), (200, [], 2, 1, "x", "y"), (300, [1.0, 1.0], 1, 1, "x", "y"),
+]
 
 
 @pytest.fixture(scope="session")
@@ -72,4 +78,6 @@ def write_tables(spark, folder, docs, benchmark, labels, pages) -> str:
         ("documents", docs, DOCS), ("benchmark", benchmark, BENCHMARK), ("labels", labels, LABELS), ("pages", pages, PAGES),
     ):
         spark.createDataFrame(rows, schema).write.parquet(os.path.join(str(folder), f"{name}.parquet"))
+    vectors = EDGE_EMBEDDINGS if docs else []
+    spark.createDataFrame(vectors, EMBEDDINGS).write.parquet(os.path.join(str(folder), "embeddings.parquet"))
     return str(folder)

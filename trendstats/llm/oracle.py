@@ -120,3 +120,22 @@ SELECT own.page_id, own.host, own.path, best.rule,
        coalesce(best.rv, CASE WHEN spread.any_block AND NOT spread.any_allow THEN 'block' ELSE 'allow' END) AS verdict
 FROM own LEFT JOIN best ON own.host = best.host AND own.path = best.path
 LEFT JOIN members ON own.node = members.node LEFT JOIN spread ON members.component = spread.component"""
+
+
+HARD_NEGATIVES = """
+WITH r AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.rid, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a JOIN r b ON b.vec_id IS DISTINCT FROM a.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT rid, anchor_id, vec_id, score, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id NULLS LAST) AS at
+  FROM s WHERE same QUALIFY at <= 5),
+n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.rid, p.at ORDER BY s.score DESC, s.vec_id NULLS LAST) AS rank
+  FROM p JOIN s ON s.rid = p.rid AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5"""

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendstats.llm import decontam, lm, mixing, oracle, pii, secrets, simhash, spotsigs, tokens, toxicity, urls
+from trendstats.llm import decontam, lm, mixing, negatives, oracle, pii, secrets, simhash, spotsigs, suffixes, tokens, toxicity, urls
 from trendstats.llm.common import read_table, spare
 
 
@@ -142,6 +142,22 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = [
+        F.col("id").alias("doc_id"),
+        F.col("n_bytes"),
+        (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    ]
+    return suffixes.without_repeats(read_table(spark, sf_dir, "documents"), derive=lambda found: found.select(*digest))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_lm_scores": op2_lm_scores,
@@ -153,6 +169,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_toxicity": op9_toxicity,
     "op10_spotsigs": op10_spotsigs,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 # The others hold hashes, tokens or learned models, which SQL cannot express;
@@ -162,4 +180,5 @@ ORACLE: dict[str, str] = {
     "op3_decontamination": oracle.DECONTAMINATION,
     "op7_mix_sources": oracle.MIX,
     "op8_url_filter": oracle.url_filter(URL_RULES),
+    "op12_hard_negatives": oracle.HARD_NEGATIVES,
 }
