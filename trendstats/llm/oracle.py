@@ -132,10 +132,10 @@ s AS (
   SELECT a.rid, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
   FROM r a JOIN r b ON b.vec_id IS DISTINCT FROM a.vec_id WHERE a.vec_id % 100 = 0),
 p AS (
-  SELECT rid, anchor_id, vec_id, score, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id NULLS LAST) AS at
-  FROM s WHERE same QUALIFY at <= 5),
+  SELECT rid, anchor_id, vec_id, score, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id NULLS LAST) AS place
+  FROM s WHERE same QUALIFY place <= 5),
 n AS (
   SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
-         row_number() OVER (PARTITION BY p.rid, p.at ORDER BY s.score DESC, s.vec_id NULLS LAST) AS rank
+         row_number() OVER (PARTITION BY p.rid, p.place ORDER BY s.score DESC, s.vec_id NULLS LAST) AS rank
   FROM p JOIN s ON s.rid = p.rid AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5"""
