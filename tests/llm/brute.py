@@ -206,3 +206,62 @@ def hard_negatives(rows, k=5):
             found = [s for s in scored if s[2] != label and 80 * p <= 100 * s[0] <= 100 * p][:k]
             out += [(i, j, at + 1, n, p, score) for at, (score, n, _) in enumerate(found)]
     return out
+
+
+def token_tables(a_json, model):
+    """Bytes of every id of the two tokenizers."""
+    import json
+
+    spec = json.loads(a_json)
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    chars = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in shown)}
+    a = {i: bytes(chars[c] for c in t) for t, i in spec["model"]["vocab"].items() if all(c in chars for c in t)}
+    b = {}
+    for i in range(model.get_piece_size()):
+        name = model.id_to_piece(i)
+        b[i] = bytes.fromhex(name[3:5]) if model.is_byte(i) else name.replace("▁", " ").encode()
+    return a, b
+
+
+def alignment(texts, a_json, b_model):
+    """Per text: A tokens, B tokens, groups, links, best links, count sum and
+    the groups' text; and the links and documents of every pair."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_str(a_json.decode())
+    tok.encode_special_tokens = True
+    model = sentencepiece.SentencePieceProcessor(model_proto=b_model)
+    bytes_a, bytes_b = token_tables(a_json, model)
+    found = []
+    for text in texts:
+        ids = ([], [])
+        if text:
+            ids = (tok.encode(" " + text, add_special_tokens=False).ids, model.encode(text))
+            want = (" " + text).encode()
+            if b"".join(bytes_a[i] for i in ids[0]) != want or b"".join(bytes_b[i] for i in ids[1]) != want:
+                ids = ([], [])
+        groups, links, a, b, end_a, end_b = [], [], [], [], 0, 0
+        left_a, left_b = list(ids[0]), list(ids[1])
+        while left_a or left_b:
+            if end_a <= end_b:
+                a.append(left_a.pop(0))
+                end_a += len(bytes_a[a[-1]])
+            else:
+                b.append(left_b.pop(0))
+                end_b += len(bytes_b[b[-1]])
+            if a and b and end_a == end_b:
+                groups.append(",".join(map(str, a)) + "|" + ",".join(map(str, b)))
+                links.append((a[-1], b[-1]))
+                a, b = [], []
+        found.append((len(ids[0]), len(ids[1]), links, ";".join(groups)))
+    counts = Counter(x for _, _, links, _ in found for x in links)
+    docs = Counter(x for _, _, links, _ in found for x in set(links))
+    most = Counter()
+    for (_, b), n in counts.items():
+        most[b] = max(most[b], n)
+    rows = [
+        (n_a, n_b, len(links), len(links), sum(counts[x] == most[x[1]] for x in links), sum(counts[x] for x in links), groups)
+        for n_a, n_b, links, groups in found
+    ]
+    return rows, {x: (n, docs[x], n == most[x[1]]) for x, n in counts.items()}

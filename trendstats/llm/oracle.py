@@ -125,9 +125,9 @@ LEFT JOIN members ON own.node = members.node LEFT JOIN spread ON members.compone
 HARD_NEGATIVES = """
 WITH r AS (
   SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
   FROM embeddings
-  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT a.rid, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
   FROM r a JOIN r b ON b.vec_id IS DISTINCT FROM a.vec_id WHERE a.vec_id % 100 = 0),

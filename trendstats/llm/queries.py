@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendstats.llm import decontam, lm, mixing, negatives, oracle, pii, secrets, simhash, spotsigs, suffixes, tokens, toxicity, urls
+from trendstats.llm import alignment, decontam, lm, mixing, negatives, oracle, pii, secrets, simhash, spotsigs, suffixes, tokens, toxicity, urls
 from trendstats.llm.common import read_table, spare
 
 
@@ -142,6 +142,14 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = alignment.read_file(alignment.A_FILE), alignment.read_file(alignment.B_FILE)
+    found, _ = alignment.align(read_table(spark, sf_dir, "documents"), a, b, digest=True)
+    return found.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256")
+    )
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mine(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
@@ -169,6 +177,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_toxicity": op9_toxicity,
     "op10_spotsigs": op10_spotsigs,
+    "op11_token_alignment": op11_token_alignment,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_suffix_dedup": op13_suffix_dedup,
 }
