@@ -24,15 +24,23 @@ from trendstats.sources.trending import valid_records, validity
 _PICK_FIELDS = ("title", "channel_title", "category_id", "publish_date")
 
 
-def rollup_videos(records: DataFrame, cats: DataFrame | None = None) -> DataFrame:
-    """One row per video: views, likes and dislikes summed over all its
-    valid snapshots; title, channel, category, publish and trending date
-    from its earliest snapshot; the watch URL.
-
-    A snapshot is used when its metrics are non-negative integers and its
-    publish date parses; a bad snapshot is left out, its video stays.
-    With ``cats``, adds the category title (``category``).
-    """
+def exact_sum(column: str, wide: bool = False) -> Column:
+    """Sum of a non-negative bigint column: a bigint, or with ``wide`` a
+    decimal(38,0) that no total of bigints overflows. The wide sum adds the
+    low and the high 32 bits apart (two longs in a hash aggregate; they hold
+    2^31 rows of the largest values in each task before the decimals meet)."""
+    if not wide:
+        return F.sum(column)
+    low = F.col(column).bitwiseAND(F.lit((1 << 32) - 1)).cast("decimal(10,0)")
+    high = F.shiftrightunsigned(F.col(column), 32).cast("decimal(10,0)")
+    total = F.sum(high).cast("decimal(28,0)") * F.lit(1 << 32).cast("decimal(10,0)")
+    return (total.cast("decimal(38,0)") + F.sum(low).cast("decimal(38,0)")).cast("decimal(38,0)")
+
+
+def video_parts(records: DataFrame, wide: bool = False) -> DataFrame:
+    """One mergeable row per video of ``records``: the metric sums over its
+    valid snapshots and ``_pick``, the representative snapshot as a struct
+    whose minimum is the earliest one."""
     valid = valid_records(records, metrics=METRICS, need_date=True)
     # the trending date as it was written, where the source keeps it
     text = [c for c in ("trending_date_text",) if c in records.columns]
@@ -43,8 +51,13 @@ def rollup_videos(records: DataFrame, cats: DataFrame | None = None) -> DataFram
             *[F.col(c) for c in (*text, *_PICK_FIELDS)],
         )
     ).alias("_pick")
-    rolled = valid.groupBy("video_id").agg(*[F.sum(m).alias(m) for m in METRICS], pick)
-    out = rolled.select(
+    return valid.groupBy("video_id").agg(*[exact_sum(m, wide).alias(m) for m in METRICS], pick)
+
+
+def videos_of_parts(parts: DataFrame) -> DataFrame:
+    """``video_parts`` rows as video rows."""
+    text = [c for c in ("trending_date_text",) if c in parts.schema["_pick"].dataType.names]
+    return parts.select(
         "video_id",
         F.col("_pick.title").alias("title"),
         F.col("_pick.category_id").alias("category_id"),
@@ -55,9 +68,22 @@ def rollup_videos(records: DataFrame, cats: DataFrame | None = None) -> DataFram
         watch_url("video_id").alias("url"),
         *[F.col(f"_pick.{c}").alias(c) for c in text],
     )
+
+
+def rollup_videos(records: DataFrame, cats: DataFrame | None = None, wide: bool = False) -> DataFrame:
+    """One row per video: views, likes and dislikes summed over all its
+    valid snapshots; title, channel, category, publish and trending date
+    from its earliest snapshot; the watch URL.
+
+    A snapshot is used when its metrics are non-negative integers and its
+    publish date parses; a bad snapshot is left out, its video stays.
+    With ``cats``, adds the category title (``category``). ``wide`` gives the
+    sums as decimal(38,0), for totals past 64 bits.
+    """
+    out = videos_of_parts(video_parts(records, wide))
     if cats is None:
         return out
-    return with_category(out, cats).select(*VIDEO_COLUMNS, *text)
+    return with_category(out, cats).select(*VIDEO_COLUMNS, *[c for c in ("trending_date_text",) if c in out.columns])
 
 
 def count_videos_by_category(
@@ -88,17 +114,20 @@ def count_records_by_category(
     )
 
 
-def sum_views_by_category(records: DataFrame, cats: DataFrame, ids: Sequence[int]) -> DataFrame:
-    """Total views per focus category (records with a usable view count)."""
+def sum_views_by_category(records: DataFrame, cats: DataFrame, ids: Sequence[int], wide: bool = False) -> DataFrame:
+    """Total views per focus category (records with a usable view count);
+    ``wide`` as in ``exact_sum``."""
     valid = in_categories(valid_records(records, metrics=("views",)), ids)
-    sums = valid.groupBy("category_id").agg(F.sum("views").alias("views"))
+    sums = valid.groupBy("category_id").agg(exact_sum("views", wide).alias("views"))
     return with_category(sums, cats).select("category_id", "category", "views")
 
 
-def sum_likes_dislikes_by_category(records: DataFrame, cats: DataFrame, ids: Sequence[int]) -> DataFrame:
-    """Total likes and dislikes per focus category."""
+def sum_likes_dislikes_by_category(
+    records: DataFrame, cats: DataFrame, ids: Sequence[int], wide: bool = False
+) -> DataFrame:
+    """Total likes and dislikes per focus category; ``wide`` as in ``exact_sum``."""
     valid = in_categories(valid_records(records, metrics=("likes", "dislikes")), ids)
-    sums = valid.groupBy("category_id").agg(F.sum("likes").alias("likes"), F.sum("dislikes").alias("dislikes"))
+    sums = valid.groupBy("category_id").agg(*[exact_sum(m, wide).alias(m) for m in ("likes", "dislikes")])
     return with_category(sums, cats).select("category_id", "category", "likes", "dislikes")
 
 

@@ -54,7 +54,7 @@ def views_count(spark, trending_path, out_dir, categories_path=None, ids: Sequen
     """Total views per focus category → ``(category,views)`` lines."""
     records, cats = _inputs(spark, trending_path, categories_path, mode, trending_date_format)
     records, seen = _observed(records, op.summary_columns(records, ids, metrics=("views",)))
-    sums = op.sum_views_by_category(records, _cats_or_empty(spark, cats), ids)
+    sums = op.sum_views_by_category(records, _cats_or_empty(spark, cats), ids, wide=True)
     write_table(sums.select(F.coalesce("category", F.col("category_id").cast("string")), "views"), out_dir, "tuple")
     return _summary(spark, seen)
 
@@ -63,7 +63,7 @@ def likes_count(spark, trending_path, out_dir, categories_path=None, ids: Sequen
     """Total likes and dislikes per focus category → ``(category,likes,dislikes)``."""
     records, cats = _inputs(spark, trending_path, categories_path, mode, trending_date_format)
     records, seen = _observed(records, op.summary_columns(records, ids, metrics=("likes", "dislikes")))
-    sums = op.sum_likes_dislikes_by_category(records, _cats_or_empty(spark, cats), ids)
+    sums = op.sum_likes_dislikes_by_category(records, _cats_or_empty(spark, cats), ids, wide=True)
     write_table(
         sums.select(F.coalesce("category", F.col("category_id").cast("string")), "likes", "dislikes"), out_dir, "tuple"
     )

@@ -82,7 +82,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder (none when it does not exist)."""
+    target, fs = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(target)) if fs.exists(target) else []
+
+
 def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder that ``scratch`` named."""
+    """Delete a folder that the library wrote."""
     target, fs = _file_system(spark, path)
     fs.delete(target, True)
