@@ -1,5 +1,6 @@
 """Sinks: partitioned CSV / text writers."""
 
+from trendstats.sinks.named import category_files, write_named
 from trendstats.sinks.writers import (
     snapshot_csv_frame,
     tuple_lines,
@@ -13,11 +14,13 @@ from trendstats.sinks.writers import (
 )
 
 __all__ = [
+    "category_files",
     "snapshot_csv_frame",
     "tuple_lines",
     "video_csv_frame",
     "write_by_category",
     "write_clean_table",
+    "write_named",
     "write_ranked",
     "write_snapshot_csv",
     "write_table",
