@@ -24,7 +24,8 @@ PERIOD + 1`` bytes.
 4. those few are sorted by ``least`` bytes, which decides them.
 
 Every sort is one exchange: a block of documents sends each bucket its keys as
-a sorted, delta-coded and compressed set, and gets back one bit a key. Keys of
+a sorted, delta-coded and compressed set, and gets back one bit a key, and with
+it a note to itself of what it learnt a round earlier. Keys of
 steps 1 and 3 only narrow the search and are cut to the bits that the corpus
 needs; those of 2 and 4 decide and have 96 bits.
 
@@ -34,7 +35,7 @@ exchange (a copy of the texts is on disk while the job runs and goes after it).
 a block, so a passage in a third of all rows is one key of each block; buckets
 are even as keys are hashed, and a task holds one, about ``BUCKET_KEYS`` keys
 while a block sends at least ``ROW_KEYS`` keys a bucket. Beyond that (some TB
-with 8 MB blocks) larger ``block_bytes`` keep the rows full and buckets small.
+with 4 MB blocks) larger ``block_bytes`` keep the rows full and buckets small.
 The driver sees two totals.
 
 Defined cases: a null text is empty; a document under ``least`` bytes loses
@@ -58,10 +59,11 @@ from trendstats.llm.common import cut
 from trendstats.session import remove, scratch
 
 LEAST = 200
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 BUCKET_KEYS = 1 << 20
 ROW_KEYS = 256
 STEP = 1 << 20  # positions worked on at once
+STATE = -1  # number of the "bucket" that holds a block's own notes
 
 _MASK = (1 << 64) - 1
 _RANDOM = np.random.default_rng(20)
@@ -151,24 +153,31 @@ def _unpack(packed: bytes, n: int, dtype=np.uint64) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(dtype).ravel(), dtype=dtype)
 
 
+def _ordered(key: np.ndarray, check: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the keys, and which of them in that order are new."""
+    order = np.argsort(key)
+    ordered = key[order]
+    new = np.ones(len(key), dtype=bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    if check is not None:
+        checks = check[order]
+        if (~new[1:] & (checks[1:] != checks[:-1])).any():  # one key, two strings
+            order = np.lexsort((check, key))
+            ordered, checks = key[order], check[order]
+            new[1:] = (ordered[1:] != ordered[:-1]) | (checks[1:] != checks[:-1])
+    return order, new
+
+
 class Keys:
     """Keys of a block's positions, as a set in ascending order."""
 
     def __init__(self, key: np.ndarray, check: np.ndarray | None, asked: np.ndarray | None, bits: int):
         if check is None:
             key = key >> np.uint64(64 - bits)
-            order = np.argsort(key, kind="stable")
-        else:
-            order = np.lexsort((check, key))
-        ordered = key[order]
-        new = np.ones(len(key), dtype=bool)
-        if len(key):
-            new[1:] = ordered[1:] != ordered[:-1]
-            if check is not None:
-                new[1:] |= check[order][1:] != check[order][:-1]
+        order, new = _ordered(key, check)
         starts = np.flatnonzero(new)
-        self.key, self.bits = ordered[starts], bits
-        self.check = None if check is None else check[order][starts]
+        self.key, self.bits = key[order[starts]], bits
+        self.check = None if check is None else check[order[starts]]
         self.many = np.diff(np.append(starts, len(key))) > 1
         self.asked = np.ones(len(starts), dtype=bool)
         if asked is not None and len(starts):
@@ -205,23 +214,15 @@ class Keys:
 
 def _merge(checked: bool):
     """Sorts a bucket; every block gets a bit a key: does the key occur twice
-    and did a block ask for it?"""
+    and did a block ask for it? What a block notes for itself goes back."""
 
     def answer(rows: list[tuple]) -> Iterator[tuple]:
         keys = [_unpack(keys, n) for _, n, keys, _ in rows]
         flags = [np.unpackbits(np.frombuffer(f, dtype=np.uint8)[: -(-2 * n // 8)], count=2 * n).astype(bool) for _, n, _, f in rows]
         key = np.concatenate(keys)
         many, asked = (np.concatenate([f[h * n : h * n + n] for f, (_, n, _, _) in zip(flags, rows)]) for h in (0, 1))
-        if checked:
-            check = np.concatenate([np.frombuffer(f, dtype=np.uint32, offset=-(-2 * n // 8)) for _, n, _, f in rows])
-            order = np.lexsort((check, key))
-        else:
-            order = np.argsort(key, kind="stable")
-        ordered = key[order]
-        new = np.ones(len(key), dtype=bool)
-        new[1:] = ordered[1:] != ordered[:-1]
-        if checked:
-            new[1:] |= check[order][1:] != check[order][:-1]
+        check = np.concatenate([np.frombuffer(f, dtype=np.uint32, offset=-(-2 * n // 8)) for _, n, _, f in rows]) if checked else None
+        order, new = _ordered(key, check)
         starts = np.flatnonzero(new)
         twice = (np.diff(np.append(starts, len(key))) > 1) | np.logical_or.reduceat(many[order], starts)
         result = np.empty(len(key), dtype=bool)
@@ -236,9 +237,9 @@ def _merge(checked: bool):
         bucket, held = None, []
 
         def out():
-            found = list(answer(held))
+            found = [(b, flags) for b, _, _, flags in held] if bucket < 0 else list(answer(held))
             return pa.RecordBatch.from_arrays(
-                [pa.array([b for b, _ in found], pa.int64()), pa.array([bucket] * len(found), pa.int64()), pa.array([m for _, m in found], pa.binary())],
+                [pa.array([b for b, _ in found], pa.int64()), pa.array([max(bucket, STATE)] * len(found), pa.int64()), pa.array([m for _, m in found], pa.binary())],
                 names=["block", "bucket", "mask"],
             )
 
@@ -307,19 +308,24 @@ class _Steps:
         on = np.isin(np.arange(PERIOD), COVER)[local % PERIOD] & (room >= least - PERIOD + 1) & (local + room >= least)
         on |= room == least
         self.whole, self.on = room >= least, np.flatnonzero(on)
-        self.ranked, self.covered, self.open, self.tied = self.on[:0], np.zeros(n, dtype=bool), None, None
+        self.ranked, self.covered = self.on[:0], np.zeros(n, dtype=bool)
+        self.open = self.tied = self.asked = self.tied_asked = None
 
     def _cover(self, at: np.ndarray) -> None:
         turns = np.zeros(len(self.data) + 1, dtype=np.int32)
-        np.add.at(turns, at, 1)
-        np.add.at(turns, at + self.least, -1)
+        turns[at] += 1
+        turns[at + self.least] -= 1
         self.covered |= np.cumsum(turns)[:-1] > 0
 
+    def at(self, step: int) -> np.ndarray:
+        """The positions that a round is about."""
+        return (self.on, self.ranked, self.open, self.tied)[step]
+
     def keys(self, step: int) -> Keys:
         """The keys that the block sends in a round."""
+        at, asked = self.at(step), (None, None, self.asked, self.tied_asked)[step]
         if step == 0:
-            return Keys(fingerprints(self.data, self.on, self.least - PERIOD + 1), None, None, self.bits[0])
-        at, asked = (self.ranked, None) if step == 1 else (self.open, self.asked) if step == 2 else (self.tied, self.tied_asked)
+            return Keys(fingerprints(self.data, at, self.least - PERIOD + 1), None, None, self.bits[0])
         key = fingerprints(self.data, at, self.least)
         if step == 2:
             return Keys(key, None, asked, self.bits[1])
@@ -331,8 +337,9 @@ class _Steps:
             ranks = self.on[found]
             self.ranked = ranks[self.whole[ranks]]
             near = np.zeros(len(self.data) + 1, dtype=np.int32)  # suffixes that reach a ranked sample
-            np.add.at(near, np.maximum(ranks - PERIOD + 1, 0), 1)
-            np.add.at(near, ranks + 1, -1)
+            near[0] = np.count_nonzero(ranks < PERIOD)
+            near[ranks[ranks >= PERIOD] - PERIOD + 1] += 1
+            near[ranks + 1] -= 1
             self.reach = np.flatnonzero((np.cumsum(near)[:-1] > 0) & self.whole)
         elif step == 1:
             self._cover(self.ranked[found])
@@ -353,22 +360,33 @@ class _Steps:
             yield i, hi - lo, spans, self.data[lo:hi][~gone].tobytes()
 
 
-def _steps(row: dict, rounds: int, least: int, bits: tuple[int, int], buckets: int) -> _Steps:
-    state = _Steps(row["ids"], row["sizes"], row["data"], least, bits)
+def _steps(row: dict, rounds: int, least: int, bits: tuple[int, int], buckets: int) -> tuple[_Steps, np.ndarray | None]:
+    """A block after ``rounds`` rounds, and the last one's answers: those of
+    the rounds before are in the block's notes."""
+    state, found = _Steps(row["ids"], row["sizes"], row["data"], least, bits), None
     for step in range(rounds):
-        masks = {m["bucket"]: m["mask"] for m in row.get(f"masks{step}") or ()}
-        keys = state.keys(step)
-        state.take(step, keys.found(masks, buckets))
-    return state
+        if step < rounds - 1:
+            note = next(m["mask"] for m in row[f"masks{step + 1}"] if m["bucket"] == STATE)
+            packed = np.frombuffer(zstandard.ZstdDecompressor().decompress(note), dtype=np.uint8)
+            found = np.unpackbits(packed, count=len(state.at(step))).astype(bool)
+        else:
+            masks = {m["bucket"]: m["mask"] for m in row[f"masks{step}"] or () if m["bucket"] != STATE}
+            found = state.keys(step).found(masks, buckets)
+        state.take(step, found)
+    return state, found
 
 
 def _send(step: int, least: int, bits: tuple[int, int], buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
-                found = list(_steps(row, step, least, bits, buckets).keys(step).rows(buckets))
-                b, n, keys, flags = zip(*found) if found else ((), (), (), ())
+                state, found = _steps(row, step, least, bits, buckets)
+                sent = list(state.keys(step).rows(buckets))
+                if found is not None:
+                    sent.append((STATE - row["block"] % (1 << 40), 0, b"", squeeze.compress(np.packbits(found).tobytes())))
+                b, n, keys, flags = zip(*sent) if sent else ((), (), (), ())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(b, pa.int64()), pa.array([row["block"]] * len(b), pa.int64()), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(flags, pa.binary())],
                     names=["bucket", "block", "n", "keys", "flags"],
@@ -386,7 +404,7 @@ def _results(least: int, bits: tuple[int, int], buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                found = list(zip(*_steps(batch.slice(k, 1).to_pylist()[0], 4, least, bits, buckets).result()))
+                found = list(zip(*_steps(batch.slice(k, 1).to_pylist()[0], 4, least, bits, buckets)[0].result()))
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(found, kinds)], names=["id", "n_bytes", "spans", "kept"])
 
     return run
