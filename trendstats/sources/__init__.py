@@ -6,6 +6,7 @@ from trendstats.sources.trending import (
     as_field_map,
     read_clean_table,
     read_trending,
+    reject_reason,
     rejected_records,
     valid_records,
     validity,
@@ -19,6 +20,7 @@ __all__ = [
     "read_categories",
     "read_clean_table",
     "read_trending",
+    "reject_reason",
     "rejected_records",
     "trending_from_tables",
     "valid_records",

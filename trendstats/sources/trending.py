@@ -189,8 +189,9 @@ def valid_records(df: DataFrame, metrics=(), need_date: bool = False, display: b
     return df.where(usable(df, metrics, need_date, display))
 
 
-def rejected_records(df: DataFrame, metrics=(), need_date: bool = False, display: bool = False) -> DataFrame:
-    """Complement of ``valid_records`` with the first failing ``reason``."""
+def reject_reason(df: DataFrame, metrics=(), need_date: bool = False, display: bool = False) -> tuple[Column, list[str]]:
+    """The first test of ``usable`` that a row fails, null for a usable row,
+    and the names of the tests."""
     reasons = []
     if "_malformed" in df.columns:
         reasons.append((F.col("_malformed"), "malformed"))
@@ -210,6 +211,12 @@ def rejected_records(df: DataFrame, metrics=(), need_date: bool = False, display
     reason = F.lit(None).cast("string")
     for cond, name in reversed(reasons):
         reason = F.when(cond, F.lit(name)).otherwise(reason)
+    return reason, [name for _, name in reasons]
+
+
+def rejected_records(df: DataFrame, metrics=(), need_date: bool = False, display: bool = False) -> DataFrame:
+    """Complement of ``valid_records`` with the first failing ``reason``."""
+    reason, _ = reject_reason(df, metrics, need_date, display)
     return df.where(~validity(df, metrics, need_date, display)).withColumn("reason", reason)
 
 
