@@ -7,9 +7,9 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_ORACLE
-from trendstats.plans.catalog import QUERIES
 from tools.oracle_check import duck_session, frame_hash, type_diffs
 
+QUERIES = E.QUERIES
 NAMES = sorted(set(QUERIES) | set(E.oracle_sql()))
 
 
