@@ -153,7 +153,7 @@ def edited(text, other):
     return text[: len(text) - k] + other[:k]
 
 
-def backoff_scores(texts, min_count=2):
+def backoff_scores(texts, min_count=1):
     """(n_words, n_seen, score) of each text."""
     docs = [(t or "").encode().lower().split() for t in texts]
     uni = Counter(w for ws in docs for w in ws)

@@ -129,14 +129,15 @@ def test_token_header_round_trip(spark):
     assert all(r["i"] == r["got"] for r in df.withColumn("got", tokens.id_of(F.col("first"))).collect())
 
 
+@pytest.mark.parametrize("min_count", [1, 2])
 @pytest.mark.parametrize("hot,known,entries", [(1, 1, 10**9), (50, 60, 20_000), (2000, 1 << 20, 50_000), (5000, 1, 10**9)])
-def test_lm_hot_and_joined_words(spark, monkeypatch, hot, known, entries):
+def test_lm_hot_and_joined_words(spark, monkeypatch, hot, known, entries, min_count):
     monkeypatch.setattr(lm, "HOT", hot)
     monkeypatch.setattr(lm, "KNOWN", known)
     docs = read_table(spark, SF_SMALL, "documents")
     rows = docs.collect()
-    want = dict(zip([r["doc_id"] for r in rows], brute.backoff_scores([r["text"] for r in rows])))
-    for r in lm.score(docs, entries=entries).collect():
+    want = dict(zip([r["doc_id"] for r in rows], brute.backoff_scores([r["text"] for r in rows], min_count)))
+    for r in lm.score(docs, entries=entries, min_count=min_count).collect():
         n, seen, score = want[r["doc_id"]]
         assert (r["n_words"], r["n_seen"]) == (n, seen)
         assert r["score"] == pytest.approx(score, abs=1e-6)
