@@ -123,6 +123,28 @@ def test_token_blocks_are_stitched(spark, tmp_path, block):
     assert sorted((r["n_tokens"], tuple(r["first"])) for r in got) == sorted(want)
 
 
+def test_long_runs_of_white_space(monkeypatch):
+    coder = tokens.encoding(tokens.read_ranks())
+    monkeypatch.setattr(tokens, "_LONG_RUN", tokens.regex.compile(r"\p{White_Space}{3,}"))
+    ends = ["x", " x", "\u00a0x", "1", "!", "", "\n", "'s", "\x1cy", "é"]
+    for space in ("   ", "\n\n\n", " \n\t ", "\u00a0\u3000 ", "    \n", " " * 40):
+        for before in ("", "word", "9", "?", "a  b"):
+            for after in ends:
+                text = before + space + after + space + before
+                assert tokens.encode_text(coder, text) == coder.encode_ordinary(text), repr(text)
+    monkeypatch.undo()
+    for text in (" " * 1_000_000, "a" + " " * 1_000_000 + "b", "\n" * 300_000 + "c", "z" * 1_000_000):
+        assert coder.decode(tokens.encode_text(coder, text)) == text
+
+
+def test_a_very_long_text_does_not_end_the_job(spark):
+    texts = ["a b", " " * 1_000_000, "x" * 1_000_000, "end"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_tokens"] for r in tokens.token_counts(docs, tokens.read_ranks()).collect()}
+    coder = tokens.encoding(tokens.read_ranks())
+    assert got == {i: len(tokens.encode_text(coder, t)) for i, t in enumerate(texts)}
+
+
 def test_token_header_round_trip(spark):
     ids = [0, 1, -1, 2**63 - 1, -(2**63), 32767, 32768, None]
     df = spark.createDataFrame([(i, tokens.header(i)) for i in ids], "i long, first array<long>")

@@ -35,6 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -46,6 +47,8 @@ RANK_FILE = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 RANK_BYTES = 16 << 20
 # Fixed value: the pattern that splits text before the merges of a rank file.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Runs of white space that the pattern's look-ahead would overflow on.
+_LONG_RUN = regex.compile(r"\p{White_Space}{10000,}")
 # The separator: an id beyond the vocabulary whose two bytes are one UTF-8
 # character, so that Spark's text writer can put it after every document.
 SEPARATOR = "Ā"
@@ -68,6 +71,19 @@ def encoding(ranks: bytes) -> tiktoken.Encoding:
     return _ENCODINGS[key]
 
 
+def encode_text(coder: tiktoken.Encoding, text: str) -> list[int]:
+    """Token ids of a text. The pattern takes a run of white space up to the
+    end of the text as one piece, and before another character all of it but
+    its last: long runs are cut out here the same way."""
+    out, at = [], 0
+    for run in _LONG_RUN.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        out += coder.encode_ordinary(text[at : run.start()])
+        out += coder._encode_single_piece(text[run.start() : end].encode("utf-8"))
+        at = end
+    return out + coder.encode_ordinary(text[at:]) if at else coder.encode_ordinary(text)
+
+
 def read_ranks(path: str = RANK_FILE) -> bytes:
     if os.path.getsize(path) > RANK_BYTES:
         raise ValueError(f"{path} has more than {RANK_BYTES} bytes")
@@ -86,13 +102,13 @@ def write_token_files(docs: DataFrame, path: str, ranks: bytes, id_col: str = "d
 
     @F.pandas_udf("binary")
     def encoded(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        encode = encoding(shared.value).encode_ordinary
-        if encoding(shared.value).n_vocab > EOS:
+        coder = encoding(shared.value)
+        if coder.n_vocab > EOS:
             raise ValueError("the separator is a token of this vocabulary")
         for ids, texts in batches:
             out = []
             for i, text in zip(ids, texts):
-                tokens = header(None if i is None else int(i)) + (encode(text) if text else [])
+                tokens = header(None if i is None else int(i)) + (encode_text(coder, text) if text else [])
                 out.append(np.array(tokens, dtype=DTYPE).tobytes())
             yield pd.Series(out)
 
