@@ -94,3 +94,28 @@ def test_items_of_a_document_are_rejected_one_by_one(spark, tmp_path):
 def test_items_agree_with_the_typed_reader(spark, categories_json):
     items = category_items(spark, categories_json).where("reason is null").select("category_id", "title", "assignable")
     assert sorted(map(tuple, items.collect())) == sorted(map(tuple, read_categories(spark, categories_json).collect()))
+
+
+def test_menu_entries_as_named_files_from_a_stored_rollup(spark, golden_csv, categories_json, tmp_path):
+    from trendstats.__main__ import main
+
+    state, out, folders = str(tmp_path / "state"), str(tmp_path / "out"), str(tmp_path / "folders")
+    for _ in range(2):  # the second merge changes nothing
+        main(["merge-batch", "day", golden_csv, state, "--buckets", "4"], stop=False)
+    main(["menu", "3", state, categories_json, "--state", "--named", "--ids", "10,31,44", "--out", out], stop=False)
+    main(["menu", "7", state, categories_json, "--state", "--named", "--k", "3", "--out", out], stop=False)
+    main(["menu", "3", golden_csv, categories_json, "--ids", "10,31,44", "--out", folders], stop=False)
+    files = lines_of(f"{out}/filter_videos")
+    assert sorted(files) == ["Anime_Animation.csv", "Music.csv", "Trailers.csv"]
+    assert len(files["Trailers.csv"]) == 1  # the header only
+    want = spark.read.text(f"{folders}/filter_videos/category_id=10").collect()
+    assert files["Music.csv"] == [r.value for r in want]
+    assert lines_of(out)["top3views.csv"][0] == files["Trailers.csv"][0] and len(lines_of(out)["top3views.csv"]) == 4
+
+
+def test_route_command(golden_csv, tmp_path, capsys):
+    from trendstats.__main__ import main
+
+    main(["route", golden_csv, str(tmp_path / "r")], stop=False)
+    counts = dict(line.split(": ") for line in capsys.readouterr().out.splitlines() if ": " in line)
+    assert int(counts["n_read"]) == int(counts["n_accepted"]) + sum(int(v) for k, v in counts.items() if not k.startswith("n_"))

@@ -2,6 +2,9 @@
 
     python -m trendstats categories CATEGORIES_JSON
     python -m trendstats [--explain] menu CHOICE INPUT CATEGORIES_JSON --ids 10,24 [--k 10] [--year 2018] --out DIR
+    python -m trendstats menu CHOICE STATE CATEGORIES_JSON --state --named ...   # stored rollup, files of exact names
+    python -m trendstats merge-batch BATCH INPUT STATE [--buckets 1024]
+    python -m trendstats route INPUT OUT                                          # accepted and rejected rows
     python -m trendstats views-count INPUT OUT [--categories JSON]
     python -m trendstats likes-count INPUT OUT [--categories JSON]
     python -m trendstats views-sort INPUT OUT [--categories JSON]
@@ -52,6 +55,18 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--k", type=int, default=None)
     s.add_argument("--year", type=int, default=2018)
     s.add_argument("--out", default=None)
+    s.add_argument("--state", action="store_true", help="INPUT is a stored rollup (merge-batch)")
+    s.add_argument("--named", action="store_true", help="write files of exact names, as one commit")
+
+    s = sub.add_parser("merge-batch")
+    s.add_argument("batch", help="name of the batch, say its day; merged once")
+    s.add_argument("input")
+    s.add_argument("state")
+    s.add_argument("--buckets", type=int, default=1024)
+
+    s = sub.add_parser("route")
+    s.add_argument("input")
+    s.add_argument("out")
 
     focus = ",".join(str(i) for i in FOCUS_IDS)
     for name in ("views-count", "likes-count", "views-sort"):
@@ -99,6 +114,7 @@ def main(argv: list[str] | None = None, stop: bool = True) -> int:
     args = build_parser().parse_args(argv)
     spark = get_session(master=args.master)
     from trendstats import operators as op
+    from trendstats.operators import incremental
     from trendstats.plans import jobs, menu
     from trendstats.sources import read_categories
 
@@ -119,17 +135,30 @@ def main(argv: list[str] | None = None, stop: bool = True) -> int:
         from trendstats.sources import read_trending
 
         cats = read_categories(spark, args.categories)
-        videos = op.rollup_videos(read_trending(spark, args.input, **options))
+        videos = incremental.read_videos(spark, args.input) if args.state else op.rollup_videos(read_trending(spark, args.input, **options))
         menu.menu_query(spark, args.choice, videos, cats, ids, args.k, args.year).explain("formatted")
     elif args.cmd == "menu":
         if args.out is None and args.choice != 2:
             print("this entry needs --out: its result may be large", file=sys.stderr)
             return 2
         df = menu.run_menu(
-            spark, args.choice, args.input, args.categories, ids, args.out, args.k, args.year, **options
+            spark, args.choice, args.input, args.categories, ids, args.out, args.k, args.year,
+            state=args.state, named=args.named, **options,
         )
         if args.choice == 2:
             show(df, len(ids) if ids and ids != [0] else read_categories(spark, args.categories).count())
+    elif args.cmd == "merge-batch":
+        from trendstats.sources import read_trending
+
+        touched = incremental.merge_batch(spark, args.state, read_trending(spark, args.input, **options), args.batch, args.buckets)
+        print(f"{args.batch}: {len(touched)} buckets written")
+    elif args.cmd == "route":
+        from trendstats.schema import METRICS
+        from trendstats.sinks import write_routed
+        from trendstats.sources import read_trending
+
+        for name, n in write_routed(read_trending(spark, args.input, **options), args.out, METRICS, need_date=True).items():
+            print(f"{name}: {n}")
     elif args.cmd == "views-count":
         show(jobs.views_count(spark, args.input, args.out, args.categories, ids, **options), 1)
     elif args.cmd == "likes-count":

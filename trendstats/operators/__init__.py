@@ -5,11 +5,14 @@ from trendstats.operators.aggregate import (
     count_records_by_category,
     count_videos_by_category,
     counts_with_total,
+    exact_sum,
     rollup_videos,
     run_summary,
     sum_likes_dislikes_by_category,
     sum_views_by_category,
     summary_columns,
+    video_parts,
+    videos_of_parts,
 )
 from trendstats.operators.joins import (
     in_categories,
@@ -25,6 +28,7 @@ from trendstats.operators.rank import (
     filter_records_by_category,
     filter_videos_by_category,
     number_within,
+    reaching_top,
     records_in_range,
     sort_records_by_views,
     topk,
@@ -42,6 +46,7 @@ __all__ = [
     "count_videos_by_category",
     "counts_with_total",
     "display_ready",
+    "exact_sum",
     "filter_records_by_category",
     "filter_videos_by_category",
     "in_categories",
@@ -49,6 +54,7 @@ __all__ = [
     "number_within",
     "published_in",
     "published_since",
+    "reaching_top",
     "records_in_range",
     "rollup_videos",
     "run_summary",
@@ -66,5 +72,7 @@ __all__ = [
     "topk_within",
     "unknown_categories",
     "valid_publish_date",
+    "video_parts",
+    "videos_of_parts",
     "with_category",
 ]

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendstats import operators as op
-from trendstats.schema import TRENDING_DATE_FORMAT, VIDEO_COLUMNS
-from trendstats.sinks import write_by_category, write_ranked
+from trendstats.operators import incremental
+from trendstats.schema import TRENDING_DATE_FORMAT, VIDEO_COLUMNS, VIDEO_CSV_HEADER
+from trendstats.sinks import category_files, video_csv_frame, write_by_category, write_named, write_ranked
 from trendstats.sources import read_categories, read_trending
 
 # Menu number → (entry name, metric, per category?, year filter?).
@@ -81,6 +82,26 @@ def output_name(choice: int, k: int | None, year: int = 2018) -> str:
     return name
 
 
+def write_named_entry(
+    result: DataFrame, cats: DataFrame, out_dir: str, choice: int, ids: Sequence[int] | None, k: int | None, year: int
+) -> None:
+    """A menu entry's rows as CSV files of exact names; a chosen category
+    without rows gets a file with the header only."""
+    frame = video_csv_frame(result)
+    line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in VIDEO_CSV_HEADER]))
+    header, root = ",".join(VIDEO_CSV_HEADER), out_dir.rstrip("/")
+    if MENU[choice][2]:
+        files = category_files(cats)
+        if (selected := normalise_selection(ids)) is not None:
+            files = files.where(F.col("category_id").isin(selected))
+        rows = files.join(frame, "category_id", "left")
+        keys = [F.col("rank")] if "rank" in frame.columns else [-F.col("views"), F.col("video_id")]
+        line = F.when(F.col("URL").isNotNull(), line)
+        write_named(rows, f"{root}/{output_name(choice, k, year)}", F.col("file"), line, keys, header)
+    else:
+        write_named(frame, root, F.lit(f"{output_name(choice, k, year)}.csv"), line, ["rank"], header, mode="append", partitions=1)
+
+
 def run_menu(
     spark: SparkSession,
     choice: int,
@@ -92,14 +113,25 @@ def run_menu(
     year: int = 2018,
     mode: str = "csv",
     trending_date_format: str = TRENDING_DATE_FORMAT,
+    state: bool = False,
+    named: bool = False,
 ) -> DataFrame:
     """Read, roll up, answer one menu entry and (with ``out_dir``) write it:
     per-category entries as ``<out>/<entry>/category_id=<id>/``, overall
-    top-k lists as one CSV in ``<out>/top<k><metric>[Of<year>]``."""
+    top-k lists as one CSV in ``<out>/top<k><metric>[Of<year>]``.
+
+    ``state``: the path is a stored rollup (``operators.incremental``).
+    ``named``: entries 3-12 become files of exact names, ``<category>.csv`` in
+    ``<out>/<entry>/`` or ``<out>/top<k><metric>[Of<year>].csv``, as one commit."""
     cats = read_categories(spark, categories_path)
-    videos = op.rollup_videos(read_trending(spark, trending_path, mode=mode, trending_date_format=trending_date_format))
+    if state:
+        videos = incremental.read_videos(spark, trending_path)
+    else:
+        videos = op.rollup_videos(read_trending(spark, trending_path, mode=mode, trending_date_format=trending_date_format))
     result = menu_query(spark, choice, videos, cats, ids, k, year)
-    if out_dir:
+    if out_dir and named and MENU[choice][2] is not None:
+        write_named_entry(result, cats, out_dir, choice, ids, k, year)
+    elif out_dir:
         target = f"{out_dir.rstrip('/')}/{output_name(choice, k, year)}"
         name, _, per_category, _ = MENU[choice]
         if per_category:
