@@ -25,8 +25,17 @@ from trendstats.sources.categories import categories_from_table
 PUBLISH_EPOCH = dt.date(1995, 1, 1)
 
 
+# Schemas by session and path: a table read by many queries has its footers
+# read once. Only the schema is kept; files are listed anew by each query.
+_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def calendar_date(df: DataFrame, name: str) -> Column:

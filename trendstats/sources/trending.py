@@ -58,10 +58,9 @@ def read_raw_csv(spark: SparkSession, path: str | list[str], multi_line: bool =
 def java_token_count(tokens: Column) -> Column:
     """Number of tokens once trailing empty ones are dropped (what a
     one-argument ``String.split`` returns)."""
-    return F.coalesce(
-        F.array_max(F.transform(tokens, lambda t, i: F.when(t != "", i + 1).otherwise(0))),
-        F.lit(0),
-    )
+    last = F.array_max(F.transform(tokens, lambda t, i: F.when(t != "", i + 1).otherwise(0)))
+    # without a trailing empty token it is the array's size
+    return F.when(F.try_element_at(tokens, F.lit(-1)) != "", F.size(tokens)).otherwise(F.coalesce(last, F.lit(0)))
 
 
 # What splitting commas become, and what a line's own NUL becomes before
@@ -92,7 +91,8 @@ def quote_aware_split(line: str | Column) -> Column:
     )
     fields = F.split(marked, _MARK, -1)
     plain = F.transform(fields, lambda f: F.replace(f, F.lit(_ESCAPED), F.lit(_NUL)))
-    return F.when(F.instr(line, _NUL) > 0, plain).otherwise(fields)
+    simple = F.when(F.instr(line, '"') == 0, F.split(line, ",", -1))  # most lines: every comma splits
+    return simple.when(F.instr(line, _NUL) > 0, plain).otherwise(fields)
 
 
 def read_raw_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
