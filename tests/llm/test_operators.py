@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_ORACLE, SF_SMALL
 from tests.llm import brute
-from trendstats.llm import decontam, graph, lm, mixing, pii, secrets, simhash, spotsigs, tokens, toxicity, urls
+from trendstats.llm import decontam, graph, lm, mixing, oracle, pii, secrets, simhash, spotsigs, tokens, toxicity, urls
 from trendstats.llm.common import read_table
 
 
@@ -292,6 +292,34 @@ def test_redirects_spread_blocks(spark):
     assert got == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "block", 6: "block", 10: "allow", 11: "allow", 12: "allow"}
 
 
+def test_relative_targets_link_in_code_and_in_sql(spark, tmp_path):
+    rules = [("bad.com", "/", "block")]
+    link, refresh = "<link rel=canonical href='{}'>".format, "<meta http-equiv=refresh content='0; url={}'>".format
+    bad = link("http://bad.com/x")
+    pages = [
+        ("http://s.net/a/b/c", link("../x/./y")), ("http://s.net/a/x/y", bad),
+        ("http://s.net/list?id=4", link("?id=5")), ("http://S.net/list?id=5#f", bad),
+        ("http://s.net/q", refresh("?")), ("https://s.net/q?", bad),
+        ("http://s.net/deep/../p/", ""), ("http://s.net/p/", bad),
+        ("http://s.net/up", link("../../../top/..")), ("http://s.net/", bad),
+        ("http://s.net/end/.", ""), ("http://s.net/end/", bad),
+        ("http://t.net/a.b/..c/.d", link("e")), ("http://t.net/a.b/..c/e", bad),
+        ("http://u.net", link("?z")), ("http://u.net?z", bad),
+        ("http://free.net/x?id=5", link("#top")), ("http://free.net/y", link("mailto:a@b.c")), ("http://free.net/..", link("z")),
+    ]
+    df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string")
+    df.coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r["page_id"]: r["verdict"] for r in urls.judge(df, urls.rules_table(spark, rules)).collect()}
+    assert [pages[i][0] for i, v in sorted(got.items()) if v == "allow"] == [u for u, _ in pages if "free.net" in u]
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    cur = con.execute(oracle.url_filter(rules))
+    names = [d[0] for d in cur.description]
+    assert {r[names.index("page_id")]: r[names.index("verdict")] for r in cur.fetchall()} == got
+
+
 def test_toxicity_held_out(spark):
     """Rows that are never learned from are told apart."""
     docs, labels = read_table(spark, SF_ORACLE, "documents"), read_table(spark, SF_ORACLE, "labels")

@@ -79,7 +79,12 @@ def url_filter(rules: list[tuple[str, str, str]]) -> str:
     site = "regexp_extract(substr({0}, strpos({0}, '://') + 3), '^[^/?#]*')"
     host = f"CASE WHEN contains({{0}}, '://') THEN {_low(site)} ELSE '' END"
     path = "CASE WHEN contains({0}, '://') THEN regexp_extract(substr({0}, strpos({0}, '://') + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END"
-    node = f"nullif({host}, '') || {path} || regexp_extract({{0}}, '^[^?#]*(\\?[^#]*)', 1)"
+    dotless = (
+        f"CASE WHEN contains({path}, '/.') THEN list_reduce(string_split({path}, '/'), lambda a, x: CASE WHEN x = '.' THEN a"
+        f" WHEN x = '..' THEN regexp_replace(a, '/[^/]*$', '') ELSE a || '/' || x END)"
+        f" || CASE WHEN regexp_matches({path}, '/\\.\\.?$') THEN '/' ELSE '' END ELSE {path} END"
+    )
+    node = f"nullif({host}, '') || {dotless} || regexp_extract({{0}}, '^[^?#]*(\\?[^#]*)', 1)"
     values = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in rules)
     href = r"""'(?is)\bhref\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))'"""
     return rf"""
@@ -99,7 +104,8 @@ found AS (SELECT node AS a, CASE
             WHEN regexp_matches(t, '^(?i)https?://') THEN t
             WHEN starts_with(t, '//') THEN substr(url, 1, strpos(url, '://') - 1) || ':' || t
             WHEN starts_with(t, '/') THEN regexp_extract(url, '^(.*?://[^/?#]*)', 1) || t
-            WHEN t <> '' AND NOT regexp_matches(t, '^(?:[A-Za-z][A-Za-z0-9+.-]*:|#|\?)')
+            WHEN starts_with(t, '?') THEN regexp_extract(url, '^(.*?://[^?#]*)', 1) || t
+            WHEN t <> '' AND NOT regexp_matches(t, '^(?:[A-Za-z][A-Za-z0-9+.-]*:|#)')
               THEN regexp_replace(regexp_extract(url, '^(.*?://[^/?#]*(?:/[^?#]*/|/)?)', 1), '/?$', '/') || t END AS target
           FROM named),
 edges AS (SELECT a, {node.format("target")} AS b FROM found),

@@ -17,8 +17,8 @@ many pages share is one row until the last join, which AQE may split.
 
 Defined cases: a null url, or one without ``://``, has an empty host and
 path, fits no rule, has no edge and is allowed; a null html has no edge; a
-relative target is resolved against the page's url; a target that is no http
-url is ignored; a rule given twice counts once, two rules of one host and
+relative target, also one of a query alone, is resolved against the page's url
+and its dot segments; a target that is no http url is ignored; a rule given twice counts once, two rules of one host and
 path with opposite verdicts allow; repeated pages each get a row; empty
 tables give empty results; other columns are ignored.
 """
@@ -53,11 +53,24 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)\A.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def dotless(path: Column) -> Column:
+    """A path without ``.`` and ``..`` segments (those above the root go)."""
+    parts = F.split(path, "/", -1)
+
+    def step(acc: Column, x: Column) -> Column:
+        up = F.regexp_replace(acc, "/[^/]*$", "")
+        return F.when(x == ".", acc).when(x == "..", up).otherwise(F.concat(acc, F.lit("/"), x))
+
+    short = F.aggregate(F.slice(parts, F.lit(2), F.size(parts)), F.lit(""), step)
+    short = F.concat(short, F.when(path.rlike(r"/\.\.?\z"), "/").otherwise(""))
+    return F.when(path.contains("/."), short).otherwise(path)
+
+
 def node_of(url: Column) -> Column:
-    """One name for the forms of a url: no scheme, host in lower case, no
-    fragment; null where there is no host."""
+    """One name for the forms of a url: no scheme, host in lower case, no dot
+    segments, no fragment; null where there is no host."""
     query = F.regexp_extract(url, r"(?s)\A[^?#]*(\?[^#]*)", 1)
-    name = F.concat(host_of(url), path_of(url), query)
+    name = F.concat(host_of(url), dotless(path_of(url)), query)
     return F.when(host_of(url) != "", name)
 
 
@@ -76,7 +89,8 @@ def _resolved(target: Column, url: Column) -> Column:
         F.when(target.rlike(r"(?i)\Ahttps?://"), target)
         .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
         .when(target.startswith("/"), F.concat(site, target))
-        .when((target != "") & ~target.rlike(r"\A(?:[A-Za-z][A-Za-z0-9+.-]*:|#|\?)"), F.concat(folder, target))
+        .when(target.startswith("?"), F.concat(F.regexp_extract(url, r"(?s)\A(.*?://[^?#]*)", 1), target))
+        .when((target != "") & ~target.rlike(r"\A(?:[A-Za-z][A-Za-z0-9+.-]*:|#)"), F.concat(folder, target))
     )
 
 
