@@ -80,7 +80,7 @@ def test_topk_within_never_meets_a_whole_group(spark, capsys):
     df = spark.range(1000).select(F.lit(1).alias("g"), "id")
     for k in (5, 999):
         p = plan(op.topk_within(df, ["g"], [F.asc("id")], k), capsys, "simple")
-        assert "_bucket" in p
+        assert "_level" in p and p.count("WindowGroupLimit") >= 2  # tests/test_selection.py counts the rows
     got = op.topk_within(df, ["g"], [F.asc("id")], 5000)
     assert sorted((r.rank, r.id) for r in got.collect()) == [(i + 1, i) for i in range(1000)]
 
