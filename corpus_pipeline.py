@@ -12,9 +12,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from trendstats.llm import decontam, pii, simhash, toxicity
-from trendstats.llm.common import read_table
+from trendstats.llm.common import cut, read_table
 from trendstats.llm.queries import mixed
-from trendstats.session import ensure_checkpoint_dir
+from trendstats.session import ensure_checkpoint_dir, remove
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,13 +56,20 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared checkpoint
-    folder and read again."""
+    folder and read again. A stage's folder goes once the next one is written;
+    the last result is checkpointed."""
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs = read_table(spark, sf_dir, "documents")
+    before = None
     for at, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if at < len(STAGES) - 1:
             path = f"{folder}/{at}-{name}"
             docs.write.parquet(path)
             docs = spark.read.parquet(path)
+            if before:
+                remove(spark, before)
+            before = path
+    docs = cut(docs)
+    remove(spark, folder)
     return docs
