@@ -17,6 +17,10 @@ DEFAULT_CONF = {
 }
 
 
+# Read by the context when it starts: checkpoints go once nothing refers to them.
+STATIC_CONF = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
+
 def get_session(
     app_name: str = "trendstats",
     master: str | None = None,
@@ -26,7 +30,7 @@ def get_session(
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
-    conf = dict(extra_conf or {})
+    conf = {**STATIC_CONF, **(extra_conf or {})}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for key, value in conf.items():
