@@ -60,7 +60,7 @@ def java_token_count(tokens: Column) -> Column:
     one-argument ``String.split`` returns)."""
     last = F.array_max(F.transform(tokens, lambda t, i: F.when(t != "", i + 1).otherwise(0)))
     # without a trailing empty token it is the array's size
-    return F.when(F.try_element_at(tokens, F.lit(-1)) != "", F.size(tokens)).otherwise(F.coalesce(last, F.lit(0)))
+    return F.when(F.element_at(tokens, -1) != "", F.size(tokens)).otherwise(F.coalesce(last, F.lit(0)))
 
 
 # What splitting commas become, and what a line's own NUL becomes before
