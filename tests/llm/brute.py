@@ -9,6 +9,8 @@ from collections import Counter
 
 import xxhash
 
+from trendstats.llm.spotsigs import ANCHORS
+
 PII = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -265,3 +267,67 @@ def alignment(texts, a_json, b_model):
         for n_a, n_b, links, groups in found
     ]
     return rows, {x: (n, docs[x], n == most[x[1]]) for x, n in counts.items()}
+
+
+def label_model(rows, voters, rounds=4):
+    """Prior, accuracies, correlations, weights and posterior function of
+    the label model of ``(votes, label or None)`` rows, a row at a time."""
+
+    def logit(p):
+        p = min(max(p, 1e-4), 1 - 1e-4)
+        return math.log(p / (1 - p))
+
+    labels = [y for _, y in rows if y is not None]
+    prior = (sum(labels) + 0.5) / (len(labels) + 1)
+    accuracy = []
+    for v in range(voters):
+        own = [y for f, y in rows if v in f and y is not None]
+        accuracy.append((sum(own) + 2 * prior) / (len(own) + 2))
+    rho, weight = [], [1.0] * voters
+
+    def posterior(fired):
+        return 1 / (1 + math.exp(-(logit(prior) + sum(weight[v] * (logit(accuracy[v]) - logit(prior)) for v in fired))))
+
+    for _ in range(rounds):
+        mass = [posterior(f) if y is None else float(y) for f, y in rows]
+        total = sum(mass)
+        p = [sum(m for m, (f, _) in zip(mass, rows) if v in f) / total for v in range(voters)]
+        spread = [math.sqrt(max(x * (1 - x), 1e-9)) for x in p]
+        rho = [
+            [
+                1.0 if i == j else
+                (sum(m for m, (f, _) in zip(mass, rows) if i in f and j in f) / total - p[i] * p[j]) / (spread[i] * spread[j])
+                for j in range(voters)
+            ]
+            for i in range(voters)
+        ]
+        new = [(p[v] * total + 2 * prior) / (sum(v in f for f, _ in rows) + 2) for v in range(voters)]
+        weight = [1 / sum(min(x, 1.0) for x in r if x >= 0.5) for r in rho]
+        accuracy = new
+    return prior, accuracy, rho, weight, posterior
+
+
+def spot_signatures(text, chain=3):
+    """Signatures of a text, 16 hex digits each: an anchor's hash continued
+    over the content words that follow it."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())
+
+    def hashed(parts):
+        h = 42
+        for part in parts:
+            h = xxhash.xxh64_intdigest(part.encode(), seed=h)
+        return f"{h:016x}"
+
+    common, out, after = set(ANCHORS), set(), []
+    for word in reversed(words):  # ``after``: the next content words
+        if word not in common:
+            after = [word, *after][:chain]
+        elif len(after) == chain:
+            out.add(hashed([word, *after]))
+    if not out and text:
+        out = {hashed([" ".join(words) if words else text])}
+    return frozenset(out)
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0

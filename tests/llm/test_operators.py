@@ -13,7 +13,29 @@ from pyspark.sql import functions as F
 from tests.conftest import SF_ORACLE, SF_SMALL
 from tests.llm import brute
 from trendstats.llm import decontam, graph, lm, mixing, oracle, pii, secrets, simhash, spotsigs, tokens, toxicity, urls
-from trendstats.llm.common import read_table
+from trendstats.llm.common import lowest, read_table, topmost
+
+
+@pytest.mark.parametrize("rows, n", [(0, 5), (3, 5), (200, 5)])
+def test_first_rows(spark, rows, n):
+    """The first rows by hash and by order, in levels or at once, with
+    repeated rows and ties."""
+    data = [(i % 90, f"w{i % 90}") for i in range(rows)] * 2
+    df = spark.createDataFrame(data, "n long, word string").repartition(40)
+    hashed = df.select("n", "word", F.xxhash64("word").alias("h"))
+    want = sorted({(r["h"], r["n"], r["word"]) for r in hashed.collect()})[:n]
+    assert [(r["h"], r["n"], r["word"]) for r in lowest(hashed, n, F.col("h"), "n").collect()] == want
+    once = df.distinct().withColumn("n", F.col("n") % 7).repartition(40)
+    want = sorted((-r["n"], r["word"]) for r in once.collect())[:n]
+    for tasks, fan in ((40, 8), (40, 16), (1, 16), (300, 20)):
+        got = topmost(once, n, F.desc("n"), "word", tasks=tasks, fan=fan).collect()
+        assert [(-r["n"], r["word"]) for r in got] == want, (tasks, fan)
+
+
+def test_hot_key_of_the_lowest(spark):
+    """Rows that repeat do not make the sample smaller."""
+    df = spark.range(5000).select(F.when(F.col("id") < 4900, 7).otherwise(F.col("id")).alias("k"))
+    assert lowest(df, 60, F.xxhash64("k")).count() == 60
 
 
 def near(rng, base, bits):
@@ -145,6 +167,21 @@ def test_a_very_long_text_does_not_end_the_job(spark):
     assert got == {i: len(tokens.encode_text(coder, t)) for i, t in enumerate(texts)}
 
 
+@pytest.mark.parametrize("file_bytes", [1, 64, 500, 8 << 20])
+def test_token_files_are_cut_by_bytes(spark, tmp_path, file_bytes):
+    """A file holds at most so many bytes, or one document."""
+    texts = ["a b"] * 40 + ["", None, "word " * 300, "x", "", "two words"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    path = str(tmp_path / "tokens")
+    tokens.write_token_files(docs, path, tokens.read_ranks(), file_bytes=file_bytes)
+    files = [open(os.path.join(path, f), "rb").read() for f in os.listdir(path) if f.startswith("part-")]
+    assert all(len(f) <= file_bytes or np.count_nonzero(np.frombuffer(f, tokens.DTYPE) == tokens.EOS) == 1 for f in files)
+    assert file_bytes < 1000 or len(files) <= 2
+    coder = tokens.encoding(tokens.read_ranks())
+    got = tokens.token_counts(docs, tokens.read_ranks(), file_bytes=file_bytes).collect()
+    assert sorted(map(tuple, got)) == [(i, len(coder.encode_ordinary(t or ""))) for i, t in enumerate(texts)]
+
+
 def test_token_header_round_trip(spark):
     ids = [0, 1, -1, 2**63 - 1, -(2**63), 32767, 32768, None]
     df = spark.createDataFrame([(i, tokens.header(i)) for i in ids], "i long, first array<long>")
@@ -333,6 +370,29 @@ def test_toxicity_held_out(spark):
     assert all(r["s"] < 0.5 for r in rows if r["h"] and not r["toxic"])
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_label_model(spark, seed):
+    """Accuracies, correlations, weights and posteriors of the plain model."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(400):
+        bad = rng.random() < 0.2
+        fired = {v for v, p in enumerate((0.7, 0.5, 0.3, 0.05)) if rng.random() < (p if bad else 0.03)}
+        fired |= {4} if 0 in fired and rng.random() < 0.9 else set()  # a voter that follows another
+        rows.append((sorted(fired), int(bad) if rng.random() < 0.5 else None))
+    rows += [([], None)] * 20
+    df = spark.createDataFrame(rows, "votes array<int>, toxic int")
+    model = toxicity.fit_label_model(df, 6)
+    prior, accuracy, rho, weight, posterior = brute.label_model(rows, 6)
+    assert model.prior == pytest.approx(prior)
+    assert model.accuracy.tolist() == pytest.approx(accuracy)
+    assert model.correlation.ravel().tolist() == pytest.approx([x for r in rho for x in r])
+    assert model.weight.tolist() == pytest.approx(weight)
+    assert weight[0] < 1 and weight[1] == 1
+    got = df.select("votes", model.posterior(F.col("votes")).alias("p")).collect()
+    assert [r["p"] for r in got] == pytest.approx([posterior(r["votes"]) for r in got])
+
+
 def test_toxicity_without_labels(spark):
     docs = read_table(spark, SF_SMALL, "documents")
     labels = spark.createDataFrame([], "doc_id long, toxic int")

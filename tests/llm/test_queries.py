@@ -174,6 +174,21 @@ def test_spotsigs(spark, where):
     key = lambda d: sorted(follow[d])
     for i in follow:
         assert sorted((r["n_chars"], r["edited_sha256"]) for r in got if r["doc_id"] == i) == key(i)
+    want = []
+    for a, b in zip(order, order[1:] + order[:1]):
+        own, other, changed = (
+            brute.spot_signatures(t) for t in (a["text"] or "", b["text"] or "", brute.edited(a["text"] or "", b["text"] or ""))
+        )
+        want.append((str(a["doc_id"]), own, changed, round(brute.jaccard(own, changed), 9), round(brute.jaccard(own, other), 9)))
+    found = [
+        (str(r["doc_id"]), *(frozenset(re.findall(".{16}", r[c])) for c in ("fingerprint", "edited_fingerprint")),
+         round(r["near_edited"], 9), round(r["near_next"], 9))
+        for r in got
+    ]
+    own_order = {d["doc_id"] for d in docs if sum(x["doc_id"] == d["doc_id"] for x in docs) > 1}  # their order is by hash
+    for rows_ in (want, found):
+        rows_[:] = sorted((r[:2] if r[0] in map(str, own_order) else r for r in rows_), key=lambda r: (r[0], sorted(r[1]), r[3:]))
+    assert found == want
     by_text = {}
     texts = {d["doc_id"]: d["text"] or "" for d in docs}
     for r in got:

@@ -36,7 +36,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendstats.llm.common import cut, spare
+from trendstats.llm.common import cut, spare, topmost
 from trendstats.llm.graph import connected_components
 
 CHAIN = 3
@@ -119,7 +119,8 @@ def classes(
     sets = cut(sets.withColumn("set", F.monotonically_increasing_id()))
     some = max(1, sets.count() // sample)
     seen = sets.where(F.pmod(F.xxhash64("set"), F.lit(some)) == 0).select(F.explode("sigs").alias("s"))
-    often = seen.groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 1").orderBy(F.desc("n"), "s").limit(hot).collect()
+    often = seen.groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    often = topmost(often, hot, F.desc("n"), "s").collect()
     last = F.array(*[F.lit(r["s"]) for r in reversed(often)]).cast("array<bigint>")
     size = F.size("sigs")
     rare = F.concat(F.array_except("sigs", last), F.array_intersect(last, F.col("sigs")))

@@ -13,10 +13,11 @@ fragment belongs to, and the fragments of a number are added up.
 spell its id in base 2^15, so that files need no index to be read back.
 
 Scale: texts are tokenised where they are read and each task writes its own
-files (no shuffle, no sort); files hold at most ``FILE_ROWS`` documents. The
-scan reads a file per row (``binaryFile``, at most 2 GB a file) and moves
-only counts: a row per block and the fragments. The tokenizer's rank file (at
-most ``RANK_BYTES``) is read by the driver and broadcast.
+files (no shuffle, no sort). Files are cut by bytes: one holds at most
+``FILE_BYTES``, or a single longer document. The scan reads a file per row
+(``binaryFile``, at most 2 GB a file) and moves only counts: a row per block
+and the fragments. The tokenizer's rank file (at most ``RANK_BYTES``) is read
+by the driver and broadcast.
 
 Defined cases: a null or empty text has 0 tokens; special-token strings in a
 text are ordinary text; a null id comes back as null; repeated rows each get
@@ -33,7 +34,6 @@ import os
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 import tiktoken
@@ -56,7 +56,7 @@ EOS = int.from_bytes(SEPARATOR.encode("utf-8"), "big")
 DTYPE = ">u2"
 HEADER, BASE = 5, 1 << 15
 NO_ID = BASE**HEADER - 1  # no 64-bit number
-FILE_ROWS = 10_000
+FILE_BYTES = 8 << 20
 BLOCK = 1 << 18  # tokens
 
 _ENCODINGS: dict[str, tiktoken.Encoding] = {}
@@ -96,24 +96,36 @@ def header(doc_id: int | None) -> list[int]:
     return [value // BASE**k % BASE for k in range(HEADER)]
 
 
-def write_token_files(docs: DataFrame, path: str, ranks: bytes, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Token files of ``docs`` in the folder ``path``."""
+def write_token_files(
+    docs: DataFrame, path: str, ranks: bytes, id_col: str = "doc_id", text_col: str = "text", file_bytes: int = FILE_BYTES
+) -> None:
+    """Token files of ``docs`` in the folder ``path``, each of at most
+    ``file_bytes`` bytes or of one document."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
-    @F.pandas_udf("binary")
-    def encoded(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        coder = encoding(shared.value)
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, between = encoding(shared.value), SEPARATOR.encode("utf-8")
         if coder.n_vocab > EOS:
             raise ValueError("the separator is a token of this vocabulary")
-        for ids, texts in batches:
-            out = []
-            for i, text in zip(ids, texts):
+        held: list[bytes] = []
+        size = 0
+        for batch in batches:
+            for i, text in zip(batch.column(0), batch.column(1)):
+                i, text = i.as_py(), text.as_py()
                 tokens = header(None if i is None else int(i)) + (encode_text(coder, text) if text else [])
-                out.append(np.array(tokens, dtype=DTYPE).tobytes())
-            yield pd.Series(out)
+                data = np.array(tokens, dtype=DTYPE).tobytes()
+                if held and size + len(data) + len(between) > file_bytes:
+                    yield pa.RecordBatch.from_arrays([pa.array([between.join(held)], pa.binary())], ["value"])
+                    held, size = [], 0
+                held.append(data)
+                size += len(data) + len(between)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([between.join(held)], pa.binary())], ["value"])
 
-    rows = docs.select(encoded(F.col(id_col).cast("string"), F.col(text_col)).cast("string").alias("value"))
-    rows.write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", FILE_ROWS).text(path)
+    slim = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
+    files = slim.mapInArrow(encoded, "value binary").select(F.col("value").cast("string").alias("value"))
+    # a row is a file; the writer adds the last separator
+    files.write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", 1).text(path)
 
 
 def scan_block(tokens: np.ndarray, eos: int, heads: int) -> dict:
@@ -213,12 +225,14 @@ def id_of(first):
     return F.when(value < F.lit(str(NO_ID)).cast("decimal(38,0)"), signed).cast("long")
 
 
-def token_counts(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_counts(
+    docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str = "text", file_bytes: int = FILE_BYTES
+) -> DataFrame:
     """``doc_id`` and ``n_tokens`` of every document, counted in flat token
     files that are written to the shared folder and removed afterwards."""
     spark = docs.sparkSession
     path = scratch(spark, "tokens")
-    write_token_files(docs, path, ranks, id_col, text_col)
+    write_token_files(docs, path, ranks, id_col, text_col, file_bytes)
     counted = cut(count_documents(spark, path).select(id_of(F.col("first")).alias("doc_id"), (F.col("n_tokens") - HEADER).alias("n_tokens")))
     remove(spark, path)
     return counted

@@ -22,7 +22,7 @@ most ``fit_rows`` feature rows.
 Defined cases: null and empty texts have no pattern and get the score of a
 text without any; rows with a null id are never learned from; null labels
 are ignored, of repeated labels of an id the largest counts; repeated
-documents each get a row; without a labelled toxic and a labelled clean
+documents each get a row (and count once in the classifier's sample); without a labelled toxic and a labelled clean
 training row there are no voters and every score is ``PRIOR``; an empty
 table gives an empty result; other columns (language, source, labels) are
 never read by a score.
@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendstats.llm import simhash
-from trendstats.llm.common import cut, spare
+from trendstats.llm.common import cut, lowest, spare
 from trendstats.llm.graph import connected_components
 
 LABEL_ROWS = 50_000  # labelled rows that voters are mined from, at most
@@ -353,7 +353,7 @@ def train(
     known = known.where(~held_out(F.col(id_col))).groupBy(F.col(id_col).alias("doc_id"))
     known = known.agg(F.max((F.col(label_col) > 0).cast("int")).alias("toxic"))
     # bounded: at most label_rows rows, always the same ones
-    known = cut(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(label_rows))
+    known = lowest(known, label_rows, F.xxhash64("doc_id"), "doc_id")
     texts = docs.where(F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
     texts = texts.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     mined = mine(texts.join(F.broadcast(known), "doc_id"))
@@ -365,7 +365,7 @@ def train(
     votes = F.filter("found", lambda j: j < width)
     model = fit_label_model(marked.select(votes.alias("votes"), "toxic"), width)
     label = F.coalesce(F.col("toxic").cast("double"), model.posterior(votes))
-    sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id", "found", "hits", "words").limit(fit_rows)
+    sample = lowest(marked, fit_rows, F.xxhash64("doc_id"), "doc_id", "found", "hits", "words")
     # texts without a match differ in length only, which no feature shows then
     words = F.when(F.col("hits") > 0, F.col("words")).otherwise(0).alias("words")
     sample = sample.groupBy("found", "hits", words).agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("mass"))
