@@ -155,8 +155,8 @@ def edited(text, other):
     return text[: len(text) - k] + other[:k]
 
 
-def backoff_scores(texts, min_count=1):
-    """(n_words, n_seen, score) of each text."""
+def backoff_scores(texts, min_count=1, less=0):
+    """(n_words, n_seen, score) of each text; ``less`` comes off the counts."""
     docs = [(t or "").encode().lower().split() for t in texts]
     uni = Counter(w for ws in docs for w in ws)
     uni[None] = sum(1 for ws in docs if ws)
@@ -166,8 +166,8 @@ def backoff_scores(texts, min_count=1):
     for ws in docs:
         score = seen = 0
         for p in zip([None, *ws], ws):
-            if pairs[p] >= min_count:
-                score, seen = score + math.log(pairs[p] / uni[p[0]]), seen + 1
+            if pairs[p] - less >= min_count:
+                score, seen = score + math.log((pairs[p] - less) / (uni[p[0]] - less)), seen + 1
             else:
                 score += math.log(0.4 * uni[p[1]] / total)
         out.append((len(ws), seen, score))

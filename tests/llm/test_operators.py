@@ -3,6 +3,7 @@ small inputs."""
 
 from __future__ import annotations
 
+import math
 import os
 import random
 
@@ -14,6 +15,7 @@ from tests.conftest import SF_ORACLE, SF_SMALL
 from tests.llm import brute
 from trendstats.llm import decontam, graph, lm, mixing, oracle, pii, secrets, simhash, spotsigs, tokens, toxicity, urls
 from trendstats.llm.common import lowest, read_table, topmost
+from trendstats.llm.queries import QUERIES
 
 
 @pytest.mark.parametrize("rows, n", [(0, 5), (3, 5), (200, 5)])
@@ -202,6 +204,29 @@ def test_lm_hot_and_joined_words(spark, monkeypatch, hot, known, entries, min_co
         assert r["score"] == pytest.approx(score, abs=1e-6)
 
 
+@pytest.mark.parametrize("hot,known,entries", [(1, 1, 10**9), (50, 60, 20_000), (2000, 1 << 20, 50_000), (5000, 1, 10**9)])
+def test_lm_leaves_the_scored_word_out(spark, monkeypatch, hot, known, entries):
+    monkeypatch.setattr(lm, "HOT", hot)
+    monkeypatch.setattr(lm, "KNOWN", known)
+    docs = read_table(spark, SF_SMALL, "documents")
+    rows = docs.collect()
+    want = dict(zip([r["doc_id"] for r in rows], brute.backoff_scores([r["text"] for r in rows], less=1)))
+    for r in lm.score(docs, entries=entries, leave_out=True).collect():
+        n, seen, score = want[r["doc_id"]]
+        assert (r["n_words"], r["n_seen"]) == (n, seen)
+        assert r["score"] == pytest.approx(score, abs=1e-6)
+
+
+def test_lm_query_backs_off(spark, tmp_path):
+    """A bigram that occurs nowhere else is scored by the backoff; one that
+    does by its whole count but the scored occurrence."""
+    rows = [(1, "a b"), (2, "A b"), (3, "c d"), (4, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: (r["n_words"], r["n_seen"], r["score"]) for r in QUERIES["op2_lm_scores"](spark, str(tmp_path)).collect()}
+    twice = (2, 2, round(math.log(1 / 2), 3))  # (mark, a): 1 of 2 others; (a, b): 1 of 1
+    assert got == {1: twice, 2: twice, 3: (2, 0, round(2 * math.log(0.4 * 1 / 6), 3)), 4: (0, 0, 0.0)}
+
+
 def test_mix_prefers_quality(spark):
     rows = [(i, "w " * 10, "hot" if i % 3 else f"s{i % 7}") for i in range(6000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")

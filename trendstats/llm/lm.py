@@ -5,6 +5,13 @@ S(w | v) = c(v w) / c(v) where the bigram table has ``v w``, else
 bigrams that occur less often. A document starts with a mark, which counts as
 a word ``v`` only. The score is the sum of ln S.
 
+The documents are scored by their own corpus, where every bigram occurs at
+least once: in the one that is scored. ``leave_out`` takes that occurrence out
+(leaving-one-out, Ney et al. 1995): S(w | v) = (c(v w) - 1) / (c(v) - 1) where
+``v w`` occurs anywhere else, else the backoff, whose c(w) / N is the word's
+left-out count with one added, (c(w) - 1 + 1) / (N - 1 + 1), so that a word
+that occurs nowhere else has a finite score.
+
 Tables and joins:
 
 1. The unigram table: partial counts of each task, summed by word hash.
@@ -12,10 +19,10 @@ Tables and joins:
    one batch and one hash partition), are dealt by the hash of w. In a
    partition the bigram and unigram counts of its words come from one
    grouping and are joined to the bigrams by it.
-3. c(v): with a whole table every word but a document's last is the ``v`` of
-   the word after it, so its own partition subtracts ln c(v). With a cut only
-   bigrams that the table has do: from the table of known words, or by a join
-   of (v, document, count) with the unigram table.
+3. c(v): where no bigram backs off, every word but a document's last is the
+   ``v`` of the word after it, so its own partition subtracts ln c(v). With a
+   cut or ``leave_out`` only bigrams that the table has do: from the table of
+   known words, or by a join of (v, document, count) with the unigram table.
 4. The parts of a document are summed, packed by batch of documents.
 
 Hot keys: a word with at least 1/``HOT`` of all occurrences (there are at
@@ -154,7 +161,7 @@ def _codes(ids, sizes, hashes, hot):
 _PACKED = ("p", "base", "w", "n", "low", "high", "doc", "last", "ids", "nulls", "sizes", "score", "seen")
 
 
-def _packed(shared, parts: int, min_count: int, starts: int):
+def _packed(shared, parts: int, min_count: int, starts: int, less: int):
     """Exploded bigrams of a batch, a row per hash partition, and a row of
     its documents with the score of their hot pairs."""
     schema = pa.schema([(n, pa.int64() if n in ("p", "base") else pa.binary()) for n in _PACKED])
@@ -172,10 +179,10 @@ def _packed(shared, parts: int, min_count: int, starts: int):
             last = np.zeros(len(w), dtype=bool)
             last[(np.cumsum(sizes) - 1)[sizes > 0]] = True
             if min_count > 1:
-                minus = np.log(_lookup(v[is_hot], known, known_c, 1))
+                minus = np.log(_lookup(v[is_hot], known, known_c, 1) - less)
             else:
                 minus = np.where(last[is_hot], 0.0, np.log(_lookup(w[is_hot], known, known_c, 1)))
-            score = np.bincount(doc[is_hot], np.log(pair_c[is_hot]) - minus, len(sizes)).astype(np.float64)
+            score = np.bincount(doc[is_hot], np.log(pair_c[is_hot] - less) - minus, len(sizes)).astype(np.float64)
             if min_count <= 1:  # the mark before the first word
                 score -= np.where(sizes > 0, math.log(max(starts, 1)), 0.0)
             seen = np.bincount(doc[is_hot], minlength=len(sizes))
@@ -219,7 +226,7 @@ def _ddl(kinds: dict[str, pa.DataType]) -> str:
     return ", ".join(f"{n} {names[t]}" for n, t in kinds.items())
 
 
-def _joined(shared, total: int, min_count: int):
+def _joined(shared, total: int, min_count: int, less: int):
     """Counts of a hash partition joined to its bigrams. Out come, packed by
     batch of documents, the parts of their scores, and a row for each (v,
     document) whose c(v) is still to be joined."""
@@ -256,7 +263,8 @@ def _joined(shared, total: int, min_count: int):
             if min_count > 1:
                 before_c = _lookup(v, known, known_c, 0)
                 gain = np.where(
-                    has, np.log(pair_c) - np.log(np.maximum(before_c, 1)), math.log(BACKOFF) + np.log(word_c) - math.log(total)
+                    has, np.log(np.maximum(pair_c - less, 1)) - np.log(np.maximum(before_c - less, 1)),
+                    math.log(BACKOFF) + np.log(word_c) - math.log(total),
                 )
             else:
                 gain = np.log(pair_c) - np.where(np.concatenate(last), 0.0, np.log(word_c))
@@ -292,12 +300,16 @@ def _summed(table: pa.Table) -> pa.Table:
 
 
 def score(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", entries: int = ENTRIES, min_count: int = MIN_COUNT
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", entries: int = ENTRIES, min_count: int = MIN_COUNT,
+    leave_out: bool = False,
 ) -> DataFrame:
     """``doc_id, n_words, n_seen`` (bigrams that the table has) and
     ``score`` (sum of ln S) of every document. ``min_count`` cuts the bigram
-    table; whole, it has every bigram of the documents and none backs off."""
+    table. Whole, it has every bigram of the documents, and none backs off
+    unless ``leave_out`` takes the scored occurrence out of the counts."""
     spark = docs.sparkSession
+    less = int(leave_out)
+    min_count += less
     texts = docs.select(F.col(text_col).cast("binary").alias("text"))
     uni_path, parts_path = scratch(spark, "unigrams"), scratch(spark, "lm-parts")
     _unigrams(texts).write.parquet(uni_path)
@@ -314,9 +326,9 @@ def score(
         F.col(text_col).cast("binary").alias("text"),
     )
     starts = uni.where(F.col("h") == START).agg(F.sum("c").alias("n")).first()["n"] or 0
-    run, schema = _packed(shared, parts, min_count, starts)
+    run, schema = _packed(shared, parts, min_count, starts, less)
     exploded = numbered.mapInArrow(run, schema)
-    exploded.groupBy("p").applyInArrow(_joined(shared, max(total, 1), min_count), _ddl(_PARTS)).write.parquet(parts_path)
+    exploded.groupBy("p").applyInArrow(_joined(shared, max(total, 1), min_count, less), _ddl(_PARTS)).write.parquet(parts_path)
     found = spark.read.parquet(parts_path)
     packed = found.where("v is null").select("base", "doc", "score", "seen", "ids", "nulls", "sizes")
     scored = packed.groupBy("base").applyInArrow(_summed, _ddl(_DOCS))
@@ -324,7 +336,7 @@ def score(
     rest = F.lit(0.0)
     if min_count > 1:
         before = found.where("v is not null").join(uni, F.col("v") == F.col("h"))
-        before = before.groupBy("rid").agg((-F.sum(F.col("n") * F.ln("c"))).alias("rest"))
+        before = before.groupBy("rid").agg((-F.sum(F.col("n") * F.ln(F.col("c") - less))).alias("rest"))
         scored, rest = scored.join(before, "rid", "left"), F.coalesce("rest", rest)
     out = cut(scored.select("doc_id", "n_words", F.col("seen").alias("n_seen"), (F.col("score") + rest).alias("score")))
     remove(spark, uni_path)

@@ -19,8 +19,10 @@ p AS (SELECT rid, ws, unnest(range(1, len(ws) + 1)) AS i FROM d),
 t AS (SELECT rid, ws[i] AS w, CASE WHEN i > 1 THEN ws[i - 1] ELSE '' END AS v FROM p),
 uni AS (SELECT w, count(*) AS c FROM t GROUP BY w UNION ALL SELECT '', count(DISTINCT rid) FROM t),
 bi AS (SELECT v, w, count(*) AS c FROM t GROUP BY v, w),
-s AS (SELECT t.rid, count(*) AS n_seen, sum(ln(bi.c) - ln(u.c)) AS score
-      FROM t JOIN bi ON bi.v = t.v AND bi.w = t.w JOIN uni u ON u.w = t.v GROUP BY t.rid)
+n AS (SELECT count(*) AS n FROM t),
+s AS (SELECT t.rid, count(*) FILTER (WHERE bi.c > 1) AS n_seen,
+             sum(CASE WHEN bi.c > 1 THEN ln(bi.c - 1) - ln(u.c - 1) ELSE ln(0.4) + ln(x.c) - ln(n.n) END) AS score
+      FROM t JOIN bi ON bi.v = t.v AND bi.w = t.w JOIN uni u ON u.w = t.v JOIN uni x ON x.w = t.w, n GROUP BY t.rid)
 SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(s.n_seen, 0) AS n_seen,
        round(coalesce(s.score, 0), 3) AS score,
        CASE WHEN len(d.ws) > 0 THEN round(s.score / len(d.ws), 3) END AS score_per_word
