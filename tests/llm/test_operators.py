@@ -266,6 +266,31 @@ def test_pii_trees_add_spans(spark):
         assert bool(found[i]["spans"]) == (i % 3 == 0)
 
 
+def test_pii_counts_every_candidate(spark):
+    """No document and no candidate is left out of the fit: not beyond 40,000
+    candidates, nor in a document of more than 1,000 base spans."""
+    crowd = " ".join(f"u{i}@h{i}.example.com" for i in range(1_500))
+    rows = [(0, crowd), (1, None), (None, "left in 1999 or so")] + [(i, f"in {1900 + i % 99} or so") for i in range(2, 45_002)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["label"]: r["n"] for r in pii.examples(docs).groupBy("label").agg(F.sum("n").alias("n")).collect()}
+    assert got == {0.0: 45_001, 1.0: 1_500}
+
+
+def test_pii_rewrites_across_chunks(spark, monkeypatch):
+    """The rewritten text and its spans are the same in chunks of any size."""
+    text = " ".join(f"é{i}.b@x{i}.com {i}.1.2.3 +1 (456) 555-{1000 + i}" for i in range(12)) + " end"
+    df = spark.createDataFrame([(1, text), (2, "plain"), (3, "")], "id long, t string")
+
+    def made(chunk):
+        monkeypatch.setattr(pii, "CHUNK", chunk)
+        r = pii.rewritten(F.col("t"), pii.base_spans(F.col("t")), F.col("id"))
+        return sorted(tuple(x) for x in df.select("id", r["text"], r["spans"]).collect())
+
+    want = made(1_000)
+    assert made(1) == want and made(5) == want and [len(x[2]) for x in want] == [36, 0, 0]
+    assert want[0][1].endswith(" end") and all(want[0][1][x["start"] : x["end"]].strip() for x in want[0][2])
+
+
 def test_pii_adds_forms_beyond_the_base(spark):
     """Addresses and phone numbers in forms that no base pattern takes are
     added, once the corpus holds the kinds in their base form."""

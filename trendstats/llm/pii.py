@@ -6,17 +6,23 @@ Beyond them, high-recall generators propose overlapping candidate spans
 each candidate from its format and its context; a threshold calibrated per
 kind selects the candidates to add. Base spans always stay.
 
-The trees are fitted on candidates of a bounded sample of documents, and
+The trees are fitted on the candidates of all documents, and
 only on such as could be added, those that overlap no base span. Weak
 labels: negatives are the candidates of the texts as they are, but for those
 that a cue, a written-out separator or the Luhn check makes open; positives are
 those that meet a base span after it was rewritten to a form that no base
 pattern takes (written-out or spaced separators in addresses, numbers
-without plus or with other separators), in its own context. On the held-out
-part of the sample each kind's threshold is the lowest score of
+without plus or with other separators), in its own context. One pass counts
+the candidates that agree in kind, label and format; the trees weigh each
+such row by its count, so no document and no candidate is left out. On the
+candidates of a quarter of the ids, held out from the trees, each kind's threshold is the lowest score of
 ``LEAST_SCORE`` or more from which on the share of positives reaches
 ``PRECISION``; a kind without such a score adds nothing.
 
+Scale: the pass over the documents ends in partial counts; what is shuffled
+and fitted on are the distinct rows of candidates' formats. The driver sees
+the trees and at most 101 bins a kind.
+
 Main path: SQL functions only. Every document is scanned in place by one
 projection (the fitted trees become a CASE expression), no shuffle. Match
 positions come from splitting the text at the matches and adding up lengths,
@@ -25,8 +31,8 @@ quantifiers and start at run beginnings, which keeps them linear and free of
 deep recursion on very long texts; what they match is the same.
 
 Defined cases: null and empty texts have no span; repeated rows each get a
-result; a sample with too few positive or negative candidates, or an empty
-table, adds no span beyond the base; other columns stay as they are.
+result; documents with too few positive or negative candidates, or an empty
+table, add no span beyond the base; other columns stay as they are.
 """
 
 from __future__ import annotations
@@ -41,14 +47,12 @@ from pyspark.sql import functions as F
 from trendstats.llm.common import cut, spare
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_DOCS = 20_000  # documents that candidates are fitted on, about
-SAMPLE_ROWS = 40_000  # candidates, at most
-SAMPLE_SPANS = 1_000  # base spans of a document that is fitted on, at most
 LEAST = 30  # positives and negatives needed to fit
 PRECISION = 0.99
 LEAST_SCORE = 0.9
 TREES, DEPTH = 8, 3
 CHUNK = 256  # matches folded together
+FIT_PARTITIONS = 32  # of the counted candidates, dealt by hash
 
 # --- fixed values: the base patterns -----------------------------------------
 # email [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+
@@ -227,12 +231,30 @@ def _open(c: Column) -> Column:
     )
 
 
-def _overlaps(c: Column, spans: Column, same_kind: bool = False) -> Column:
+def _chunks(spans: Column) -> Column:
+    """``spans`` in runs of ``CHUNK``."""
+    starts = F.when(F.size(spans) > 0, F.sequence(F.lit(1), F.size(spans), F.lit(CHUNK))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda at: F.slice(spans, at, F.lit(CHUNK)))
+
+
+def _ranges(spans: Column) -> Column:
+    """Runs of the ordered ``spans`` with the range that each covers."""
+    return F.transform(_chunks(spans), lambda part: F.struct(
+        F.array_min(F.transform(part, lambda x: x["start"])).alias("start"),
+        F.array_max(F.transform(part, lambda x: x["end"])).alias("end"), part.alias("part"),
+    ))
+
+
+def _overlaps(c: Column, ranges: Column, same_kind: bool = False) -> Column:
+    """Whether ``c`` meets one of the spans of ``_ranges``."""
+
     def meets(b: Column) -> Column:
-        hit = (b["start"] < c["end"]) & (c["start"] < b["end"])
-        return hit & (b["k"] == c["k"]) if same_kind else hit
+        return (b["start"] < c["end"]) & (c["start"] < b["end"])
 
-    return F.exists(spans, meets)
+    def one(b: Column) -> Column:
+        return meets(b) & (b["k"] == c["k"]) if same_kind else meets(b)
+
+    return F.exists(ranges, lambda p: meets(p) & F.exists(p["part"], one))
 
 
 # Rewrites of a base span to forms that no base pattern takes: (pattern,
@@ -268,25 +290,49 @@ def rewritten(text: Column, spans: Column, seed: Column) -> Column:
                 out = F.when((x["k"] == k) & (pick == i), new).otherwise(out)
         return out
 
-    def step(acc: Column, x: Column) -> Column:
-        gap = F.substring(text, acc["pos"] + 1, x["start"] - acc["pos"])
-        form = variant(F.substring(text, x["start"] + 1, x["end"] - x["start"]), x)
-        at = acc["length"] + F.length(gap)
-        span = F.struct(at.alias("start"), x["k"].alias("k"), (at + F.length(form)).alias("end"))
-        moved = F.struct(
-            x["end"].alias("pos"), (at + F.length(form)).alias("length"),
-            F.concat(acc["out"], F.array(gap, form)).alias("out"), F.array_append(acc["spans"], span).alias("spans"),
-        )
-        return F.when(x["start"] >= acc["pos"], moved).otherwise(acc)
+    spans_of = "array<struct<start:int,k:int,end:int>>"
+    texts, none = F.array().cast("array<string>"), F.array().cast(spans_of)
+
+    def chunk(acc: Column, part: Column) -> Column:
+        """``CHUNK`` spans, rewritten in the piece of text that they span."""
+        until = F.greatest(acc["pos"], F.array_max(F.transform(part, lambda x: x["end"])))
+
+        def folded(piece: Column) -> Column:
+            def step(a: Column, x: Column) -> Column:
+                gap = F.substring(piece, a["pos"] - acc["pos"] + 1, x["start"] - a["pos"])
+                form = variant(F.substring(piece, x["start"] - acc["pos"] + 1, x["end"] - x["start"]), x)
+
+                def moved(made: Column) -> Column:
+                    at = a["length"] + F.length(made["gap"])
+                    end = at + F.length(made["form"])
+                    span = F.struct(at.alias("start"), x["k"].alias("k"), end.alias("end"))
+                    return F.struct(
+                        x["end"].alias("pos"), end.alias("length"),
+                        F.concat(a["out"], F.array(made["gap"], made["form"])).alias("out"),
+                        F.array_append(a["spans"], span).alias("spans"),
+                    )
+
+                made = _bound(F.struct(gap.alias("gap"), form.alias("form")), moved)
+                return F.when(x["start"] >= a["pos"], made).otherwise(a)
+
+            first = F.struct(acc["pos"].alias("pos"), acc["length"].alias("length"), texts.alias("out"), none.alias("spans"))
+            return F.aggregate(part, first, step)
+
+        done = _bound(F.substring(text, acc["pos"] + 1, until - acc["pos"]), folded)
+        return _bound(done, lambda a: F.struct(
+            a["pos"].alias("pos"), a["length"].alias("length"),
+            F.array_append(acc["out"], F.array_join(a["out"], "")).alias("out"),
+            F.array_append(acc["spans"], a["spans"]).alias("spans"),
+        ))
 
     start = F.struct(
-        F.lit(0).alias("pos"), F.lit(0).alias("length"), F.array().cast("array<string>").alias("out"),
-        F.array().cast("array<struct<start:int,k:int,end:int>>").alias("spans"),
+        F.lit(0).alias("pos"), F.lit(0).alias("length"), texts.alias("out"), F.array().cast(f"array<{spans_of}>").alias("spans")
     )
-    done = lambda acc: F.struct(
-        F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["pos"] + 1, F.length(text))).alias("text"), acc["spans"].alias("spans")
+    whole = lambda acc: F.struct(
+        F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["pos"] + 1, F.length(text))).alias("text"),
+        F.flatten(acc["spans"]).alias("spans"),
     )
-    return F.aggregate(spans, start, step, done)
+    return F.aggregate(_chunks(spans), start, chunk, whole)
 
 
 # --- boosted trees -----------------------------------------------------------
@@ -330,38 +376,51 @@ def _tree(node):
     return (node.split().featureIndex(), float(node.split().threshold()), _tree(node.leftChild()), _tree(node.rightChild()))
 
 
-def fit(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sample_docs: int = SAMPLE_DOCS) -> Booster:
-    """Fit the trees on candidates of about ``sample_docs`` documents chosen
-    by a hash of their id, and calibrate the thresholds."""
-    share = min(1.0, sample_docs / max(1, docs.count()))
-    texts = docs.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
-    texts = texts.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    texts = cut(texts.withColumn("base", base_spans(F.col("t"))).where(F.size("base") <= SAMPLE_SPANS))
-    shifted = cut(texts.where(F.size("base") > 0).select("id", rewritten(F.col("t"), F.col("base"), F.col("id")).alias("r")))
-    shifted = shifted.select("id", F.col("r.text").alias("t"), F.col("r.spans").alias("planted"))
-
-    def free(found: DataFrame) -> DataFrame:
-        """Candidates that overlap no base span."""
-        rows = found.where(F.size("c") > 0).withColumn("c", F.explode("c"))
-        return rows.where(~_overlaps(F.col("c"), F.col("base")))
-
-    asis = free(texts.select("id", "base", candidates(F.col("t")).alias("c"))).select("id", "c", F.lit(0.0).alias("label"))
-    moved = free(shifted.select("id", "planted", base_spans(F.col("t")).alias("base"), candidates(F.col("t")).alias("c")))
-    moved = moved.where(_overlaps(F.col("c"), F.col("planted"), True)).select("id", "c", F.lit(1.0).alias("label"))
-    rows = asis.where(~_open(F.col("c"))).union(moved)
-    rows = rows.select("id", "label", F.col("c.k").alias("k"), *[F.col("c.f")[i].alias(n) for i, n in enumerate(FEATURES)])
-    rows = cut(rows.orderBy(F.xxhash64("id", *FEATURES)).limit(SAMPLE_ROWS))
-    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+def examples(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The candidates of all documents that overlap no base span, counted:
+    ``label, held`` (of a document that is held out), ``k``, the features and
+    ``n``. Label 0 are those of the texts as they are but for the open ones,
+    label 1 those that meet a rewritten base span."""
+
+    def free(found: Column, base: Column, label: float, keep) -> Column:
+        chosen = _bound(_ranges(base), lambda ranges: F.filter(found, lambda c: keep(c) & ~_overlaps(c, ranges)))
+        return F.transform(chosen, lambda c: F.struct(F.lit(label).alias("label"), c["k"].alias("k"), c["f"].alias("f")))
+
+    def moved(r: Column) -> Column:
+        def met(planted: Column) -> Column:
+            return free(candidates(r["text"]), base_spans(r["text"]), 1.0, lambda c: _overlaps(c, planted, True))
+
+        return _bound(_ranges(r["spans"]), met)
+
+    def both(base: Column) -> Column:
+        asis = free(candidates(text), base, 0.0, lambda c: ~_open(c))
+        none = F.array().cast("array<struct<label:double,k:int,f:array<double>>>")
+        return F.concat(asis, F.when(F.size(base) > 0, _bound(rewritten(text, base, F.col("id")), moved)).otherwise(none))
+
+    text = F.col("t")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).where("t is not null")
+    held = F.coalesce(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(4)) == 0, F.lit(False))
+    rows = texts.select(held.alias("held"), F.explode(_bound(base_spans(text), both)).alias("c"))
+    return rows.groupBy("c.label", "held", "c.k", "c.f").agg(F.count(F.lit(1)).alias("n"))
+
+
+def fit(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Booster:
+    """Fit the trees on the candidates of all documents and calibrate the
+    thresholds on those of the held-out ones."""
+    found = examples(docs, text_col, id_col)
+    rows = found.select("label", "held", "k", *[F.col("f")[i].alias(n) for i, n in enumerate(FEATURES)], "n")
+    # the same partitions in the same order on every run
+    rows = cut(rows.repartition(FIT_PARTITIONS, "label", *FEATURES).sortWithinPartitions("label", "held", "k", *FEATURES))
+    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.sum("n").alias("n")).collect()}
     if min(counts.get(0.0, 0), counts.get(1.0, 0)) < LEAST:
         return Booster()
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
-    kept_back = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(4)) == 0
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7).fit(rows.where(~kept_back))
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, weightCol="n").fit(rows.where("not held"))
     trees = [(float(w), _tree(t._call_java("rootNode"))) for w, t in zip(model.treeWeights, model.trees)]
     booster = Booster(trees)
     # rounded down: every candidate of a bin reaches the bin's score
-    scored = rows.where(kept_back).select("k", "label", (F.floor(booster.score(F.array(*FEATURES)) * 100) / 100).alias("score"))
-    bins = scored.groupBy("k", "score").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("hits"))
+    scored = rows.where("held").select("k", "label", "n", (F.floor(booster.score(F.array(*FEATURES)) * 100) / 100).alias("score"))
+    bins = scored.groupBy("k", "score").agg(F.sum("n").alias("n"), F.sum(F.col("label") * F.col("n")).alias("hits"))
     # at most 4 kinds x 101 scores
     for k in range(len(KINDS)):
         n = hits = 0
@@ -383,7 +442,10 @@ def find(docs: DataFrame, into: str, booster: Booster, text_col: str = "text") -
     out = docs.withColumns({base: base_spans(text), proposed: candidates(text) if booster.thresholds else F.lit(None)})
     added = F.array().cast("array<struct<start:int,k:int,end:int>>")
     if booster.thresholds:
-        chosen = F.filter(F.col(proposed), lambda c: booster.selects(c) & ~_overlaps(c, F.col(base)))
+        def chosen_by(ranges: Column) -> Column:
+            return F.filter(F.col(proposed), lambda c: booster.selects(c) & ~_overlaps(c, ranges))
+
+        chosen = _bound(_ranges(F.col(base)), chosen_by)
         added = F.transform(chosen, lambda c: F.struct(c["start"].alias("start"), c["k"].alias("k"), c["end"].alias("end")))
     both = F.array_sort(F.concat(F.col(base), added))
     return out.withColumn(into, F.struct(F.col(base).alias("base"), both.alias("spans"))).drop(base, proposed)
