@@ -349,6 +349,22 @@ def test_secret_recall(spark):
     assert all(h >= 0.93 * 400 for h in hits), hits
 
 
+def test_secret_calibration_takes_all_texts(spark, monkeypatch):
+    """Every piece of every text gives a place for each alphabet: of more than
+    400 texts, and beyond their first 4,096 characters."""
+    monkeypatch.setattr(secrets, "TRIES", 1)
+    texts = [f"text {i} of the house and its garden" for i in range(600)] + ["word " * 2_000, "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = secrets.shares(docs, ["house"]).groupBy("class").agg(F.sum("count").alias("n")).collect()
+    assert {r["class"]: r["n"] for r in got} == {name: 600 + 3 for name in secrets.ALPHABETS}
+    # the share that 98 % (90 %) of the random tokens reach
+    found, least = secrets.shares(docs, ["house"]).collect(), secrets.calibrated(docs, ["house"])
+    for (name, n), share in least.items():
+        own = [(r["share"], r["count"]) for r in found if (r["class"], r["length"]) == (name, n)]
+        recall = 0.9 if name.startswith("letters") else 0.98
+        assert sum(c for x, c in own if x >= share) >= recall * sum(c for _, c in own)
+
+
 def test_secret_in_copies(spark):
     """Neither copies nor near copies of a page make its secret a word of the
     dictionary; the secret of each is found."""

@@ -8,14 +8,17 @@ and names that occur around it or in the dictionary cost next to nothing;
 a random string costs about what its alphabet needs, less
 where the text around it lends its tables. A candidate is reported when its
 novelty reaches a share of that need calibrated by alphabet and length:
-random tokens are put at random places of ``PLACES`` texts, and the share is
-the one that ``RECALL`` of them reach, or ``NOVELTY`` if more do. Tokens of
+random tokens of each alphabet are put at a random place of every ``PIECE``
+characters of all texts, and the share is the one that ``RECALL`` of them reach, or ``NOVELTY`` if more do. Tokens of
 letters only, which words may be, are asked for ``RECALL_LETTERS``.
 
 Scale: documents are scanned in Arrow batches. The dictionary counts each
 identifier once in each distinct text, so one shuffle brings copies of a text
 together (one row of each text hash leaves a task), and partial counts leave
-each task; the driver sees its ``IDENTIFIERS`` words only. An identifier that
+each task; the driver sees its ``IDENTIFIERS`` words only. The
+calibration takes part of every document in place (a copy counts like any
+other) and brings back how often each share occurred, which is a number of
+bytes for each alphabet and length. An identifier that
 in half of its texts or more lies in a candidate is no word of the dictionary,
 so that a secret on many pages does not hide itself.
 
@@ -41,7 +44,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendstats.llm.common import lowest, topmost
+from trendstats.llm.common import topmost
 
 KINDS = ("assign", "access", "hex")
 
@@ -58,8 +61,8 @@ CONTEXT = 256  # characters before and after that prime the compressor
 NEAR = 40  # a sensitive word must end so close before the candidate
 NOVELTY = 1.0
 RECALL, RECALL_LETTERS = 0.98, 0.9  # of random tokens, by calibration
-PLACES = 400  # texts that the calibration takes places from, at most
-TRIES = 1000  # random tokens of an alphabet and length
+PIECE = 4096  # characters that the calibration takes a place of
+TRIES = 1000  # random tokens of an alphabet and length, about, where there are fewer places
 LENGTHS = (16, 18, 20, 22, 24, 28, 32, 40, 48, 64)
 _DIGITS, _LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 ALPHABETS = {  # as ``_class`` tells them apart
@@ -138,30 +141,61 @@ class Novelty:
         return self.share(text, start, end) >= least
 
 
-def calibrated(texts: list[str], identifiers: list[str]) -> dict[tuple[str, int], float]:
-    """Share of its need that random tokens reach, by class and length."""
-    novelty, rng, out = Novelty(identifiers), random.Random(11), {}
-    for name, letters in ALPHABETS.items() if texts else ():
-        for n in LENGTHS:
-            shares = []
-            while len(shares) < TRIES:
-                text, token = rng.choice(texts), "".join(rng.choices(letters, k=n))
+def _at_places(text: str, h: int, each: int, novelty: Novelty) -> Iterator[tuple[str, int, float]]:
+    """Class, length and share of ``each`` random tokens of each alphabet at a
+    random place of every piece of the text."""
+    for lo in range(0, len(text), PIECE):
+        rng = random.Random((h << 32) + lo)  # the same on every run
+        for name, letters in ALPHABETS.items():
+            first = rng.randrange(len(LENGTHS))
+            for i in range(each):
+                n = LENGTHS[(first + i) % len(LENGTHS)]
+                token = "".join(rng.choices(letters, k=n))
                 if _class(token) != name:
                     token = token[:-1] + rng.choice(_DIGITS)  # a token of this alphabet without a digit
-                at = rng.randint(0, len(text))
+                at = rng.randint(lo, min(len(text), lo + PIECE))
                 before = f"{text[max(0, at - CONTEXT) : at]} {rng.choice(_CUES)} "
-                shares.append(novelty.share(f"{before}{token} {text[at : at + CONTEXT]}", len(before), len(before) + n))
-            recall = RECALL_LETTERS if name.startswith("letters") else RECALL
-            out[name, n] = min(NOVELTY, sorted(shares)[int((1 - recall) * TRIES)])
-    return out
+                yield name, n, novelty.share(f"{before}{token} {text[at : at + CONTEXT]}", len(before), len(before) + n)
+
+
+def shares(docs: DataFrame, identifiers: list[str], text_col: str = "text") -> DataFrame:
+    """How often (``count``) a random token of each ``class`` and ``length``
+    had each ``share`` at the places of all documents; each of these gets
+    about ``TRIES`` tokens or more."""
+    texts = docs.select(F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h")).where("length(text) > 0")
+    pieces = texts.agg(F.sum(F.ceil(F.length("text") / PIECE)).alias("n")).first()["n"] or 1
+    each = math.ceil(TRIES * len(LENGTHS) / int(pieces))
+    shared = docs.sparkSession.sparkContext.broadcast(identifiers)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        novelty, counts = Novelty(shared.value), Counter()
+        for batch in batches:
+            for text, h in zip(*(column.to_pylist() for column in batch.columns)):
+                counts.update(_at_places(text, h, each, novelty))
+        rows = [(*key, n) for key, n in counts.items()]
+        kinds = (pa.string(), pa.int32(), pa.float64(), pa.int64())
+        columns = zip(*rows) if rows else [()] * len(kinds)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["class", "length", "share", "count"])
+
+    counted = texts.mapInArrow(run, "class string, length int, share double, count long")
+    return counted.groupBy("class", "length", "share").agg(F.sum("count").alias("count"))
 
 
-def places(docs: DataFrame, text_col: str = "text") -> list[str]:
-    """Beginnings of at most ``PLACES`` distinct texts, always the same."""
-    texts = docs.select(F.left(text_col, F.lit(4096)).alias("text"), F.xxhash64(text_col).alias("h")).where("length(text) > 0")
-    slim = lowest(texts.select("h"), PLACES, F.col("h"))
-    found = texts.join(F.broadcast(slim), "h").groupBy("h").agg(F.min("text").alias("text"))
-    return [r["text"] for r in found.orderBy("h").collect()]
+def calibrated(docs: DataFrame, identifiers: list[str], text_col: str = "text") -> dict[tuple[str, int], float]:
+    """Share of its need that random tokens reach, by class and length."""
+    found: dict[tuple[str, int], list[tuple[float, int]]] = {}
+    for r in shares(docs, identifiers, text_col).collect():
+        found.setdefault((r["class"], r["length"]), []).append((r["share"], r["count"]))
+    out = {}
+    for key, counts in found.items():
+        recall = RECALL_LETTERS if key[0].startswith("letters") else RECALL
+        missed = int((1 - recall) * sum(n for _, n in counts))
+        for share, n in sorted(counts):
+            missed -= n
+            if missed < 0:
+                out[key] = min(NOVELTY, share)
+                break
+    return out
 
 
 def candidate_spans(text: str | None) -> list[tuple[int, int]]:
@@ -233,7 +267,7 @@ def find(docs: DataFrame, into: str, text_col: str = "text", words: list[str] |
     ``KINDS``, then ``ADDED``. ``words`` is the identifier dictionary (by
     default from the documents)."""
     words = identifiers(docs, text_col) if words is None else words
-    shared = docs.sparkSession.sparkContext.broadcast((words, calibrated(places(docs, text_col), words)))
+    shared = docs.sparkSession.sparkContext.broadcast((words, calibrated(docs, words, text_col)))
 
     @F.pandas_udf(RESULT)
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
