@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from trendstats import operators as op
+from trendstats.plans import stored
 from trendstats.schema import METRICS
 from trendstats.sinks import (
+    bucket_count,
+    layout,
     read_ranks,
     read_routed,
     write_bucketed_table,
@@ -100,6 +103,20 @@ def test_rollup_and_join_of_bucketed_tables_need_no_exchange(spark, tmp_path, ta
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_buckets_grow_with_the_rows(spark):
+    assert [bucket_count(spark.range(n), 8, 100) for n in (0, 1, 800, 801, 10_000)] == [8, 8, 8, 9, 100]
+
+
+def test_bucketed_rollup_takes_buckets_by_rows(spark, monkeypatch):
+    used = []
+    monkeypatch.setattr(layout, "BUCKET_ROWS", 100)
+    monkeypatch.setattr(stored.sinks, "write_bucketed_table", lambda df, name, buckets, path: used.append(buckets) or write_bucketed_table(df, name, buckets, path))
+    got = stored.rollup_videos_bucketed(spark, SF_SMALL)
+    records = trending_from_tables(spark, SF_SMALL)
+    assert used == [max(stored.BUCKETS, -(-records.count() // 100))] and used[0] > stored.BUCKETS
+    assert got.count() == op.rollup_videos(records).count()
+
+
 def test_a_last_week_query_reads_few_rows(spark, tmp_path):
     df = records_over_time(spark)
     write_dated_table(df, str(tmp_path), partitions=12, row_group_bytes=64 << 10)

@@ -26,7 +26,7 @@ from trendstats.sources import category_items, read_trending, valid_records
 from trendstats.sources.tables import _table
 
 BATCHES = 3  # the rollup state takes the trending years modulo this
-BUCKETS = 8
+BUCKETS = 8  # of the bucketed rollup: at least
 SCALE = 10**13  # metrics times this overflow a 64-bit total
 PAGE = (101, 150)  # ranks of the page query
 BAD_ID, BAD_TITLE = (7, 5), (11, 7)  # (modulus, remainder) of nation keys whose item is broken
@@ -67,7 +67,8 @@ def rollup_videos_bucketed(spark, sf_dir):
     name = "records_" + uuid.uuid4().hex
 
     def use(folder):
-        stored = sinks.write_bucketed_table(C._records(spark, sf_dir), name, BUCKETS, folder)
+        records = C._records(spark, sf_dir)
+        stored = sinks.write_bucketed_table(records, name, sinks.bucket_count(records, BUCKETS), folder)
         return op.titled(op.rollup_videos(stored), C._cats(spark, sf_dir), VIDEO_COLUMNS)
 
     result = _in_folder(spark, use)

@@ -1,6 +1,7 @@
 """Sinks: partitioned CSV / text writers."""
 
 from trendstats.sinks.layout import (
+    bucket_count,
     read_ranks,
     read_routed,
     write_bucketed_table,
@@ -22,6 +23,7 @@ from trendstats.sinks.writers import (
 )
 
 __all__ = [
+    "bucket_count",
     "category_files",
     "read_ranks",
     "read_routed",

@@ -11,13 +11,22 @@ from trendstats.sources.trending import reject_reason
 
 # --- bucketed by video -------------------------------------------------------
 
+BUCKET_ROWS = 1 << 20  # rows of a bucket, about
+MOST_BUCKETS = 100_000  # Spark's own limit
+
+
+def bucket_count(df: DataFrame, least: int = 1, rows: int | None = None) -> int:
+    """Buckets for ``df`` so that each holds about ``rows`` rows, however many
+    ``df`` has (up to ``MOST_BUCKETS``): what one task sorts stays the same."""
+    return min(MOST_BUCKETS, max(least, -(-df.count() // (rows or BUCKET_ROWS))))
+
 
 def write_bucketed_table(df: DataFrame, name: str, buckets: int, path: str | None = None, by: str = "video_id") -> DataFrame:
     """Store ``df`` as table ``name`` bucketed and sorted by ``by``; the table.
 
     Rows of one video lie in one bucket, so the rollup and joins by video of
     tables with the same buckets need no exchange. Each bucket is written by
-    one task (buckets * their size = the table: choose about 256 MB each)."""
+    one task (buckets * their size = the table): choose them by ``bucket_count``."""
     ready = df.repartition(buckets, by)
     writer = ready.write.mode("overwrite").bucketBy(buckets, by).sortBy(by)
     (writer.option("path", path) if path else writer).saveAsTable(name)
